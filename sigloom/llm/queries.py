@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sigloom.llm import bpe, jaccard, packing
+from sigloom.llm import bpe, jaccard, packing, substrings
 from sigloom.llm.shared import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,8 +25,12 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"), size=4, num=85, den=100)
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"), span=35)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op3_packing, op7_jaccard_join)}
+    return {f.__name__: f for f in (op1_bpe, op3_packing, op7_jaccard_join, op8_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -34,4 +35,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/sigloom/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path, compression="zstd")
+    gc.collect()  # lets Spark drop the shuffle files of plans that nothing refers to any more
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
