@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sigloom.llm import bpe, jaccard, packing, substrings
+from sigloom.llm import bpe, jaccard, lines, packing, substrings
 from sigloom.llm.shared import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,6 +18,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.remove_repeated_chunks(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), VOCABULARY)
 
@@ -30,8 +36,8 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op3_packing, op7_jaccard_join, op8_substring_dedup)}
+    return {f.__name__: f for f in (op1_bpe, op2_line_dedup, op3_packing, op7_jaccard_join, op8_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_line_dedup": lines.ORACLE}
