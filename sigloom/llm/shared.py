@@ -3,13 +3,21 @@
 from __future__ import annotations
 
 import gc
+import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the input; Python workers find this package where the driver did, unless they have it installed."""
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if ROOT not in paths.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [paths, ROOT]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
