@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigloom.llm import bpe, jaccard, lines, packing, substrings
+from sigloom.llm import bpe, jaccard, lines, packing, quality, substrings, toxicity
+from sigloom.llm.labelled import held_out
 from sigloom.llm.shared import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +28,18 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model, threshold=0.3).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, threshold=0.5).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"), size=4, num=85, den=100)
 
@@ -36,7 +49,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_line_dedup, op3_packing, op7_jaccard_join, op8_substring_dedup)}
+    return {f.__name__: f for f in (op1_bpe, op2_line_dedup, op3_packing, op5_quality, op6_toxicity, op7_jaccard_join, op8_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

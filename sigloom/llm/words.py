@@ -84,11 +84,11 @@ def blocks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         i = j
 
 
-def words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, at: np.ndarray, blank: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and stop of every word in the bytes, and the first word of each text (n + 1)."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(at), np.int64)
-    ink = ~BLANK[data]
+    ink = ~blank[data]
     begins = ink.copy()
     begins[1:] &= ~ink[:-1]
     ends = ink.copy()
@@ -100,9 +100,14 @@ def words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return start, stop, np.searchsorted(start, at)
 
 
+def folded(data: np.ndarray) -> np.ndarray:
+    """The bytes' values for hashing, A-Z as a-z."""
+    return _FOLDED[data]
+
+
 def word_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray, fold: bool = False, which: int = 0) -> np.ndarray:
     """A hash of each word; with ``fold`` A-Z count as a-z."""
-    return spans(prefix((_FOLDED if fold else _VALUE)[data], which), start, stop, which)
+    return spans(prefix(folded(data) if fold else _VALUE[data], which), start, stop, which)
 
 
 def windows(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
