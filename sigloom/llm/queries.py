@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigloom.llm import bpe, jaccard, lines, packing, quality, substrings, toxicity
+from sigloom.llm import bpe, egojoin, jaccard, lines, packing, quality, substrings, topk, toxicity
 from sigloom.llm.labelled import held_out
 from sigloom.llm.shared import table
 
@@ -28,6 +28,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
@@ -48,8 +52,12 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"), span=35)
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return egojoin.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.95)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_line_dedup, op3_packing, op5_quality, op6_toxicity, op7_jaccard_join, op8_substring_dedup)}
+    return {f.__name__: f for f in (op1_bpe, op2_line_dedup, op3_packing, op4_topk, op5_quality, op6_toxicity, op7_jaccard_join, op8_substring_dedup, op9_embedding_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -45,4 +45,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path, compression="zstd")
     gc.collect()  # lets Spark drop the shuffle files of plans that nothing refers to any more
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables that :func:`written` made, once nothing reads them any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.written_at)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
