@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigloom.llm import bpe, egojoin, jaccard, lines, packing, quality, substrings, topk, toxicity
+from sigloom.llm import bpe, egojoin, jaccard, lines, lmscore, packing, quality, substrings, topk, toxicity
 from sigloom.llm.labelled import held_out
 from sigloom.llm.shared import table
 
@@ -56,8 +56,15 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return egojoin.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.95)
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target are documents labelled as of good quality, the background is the corpus."""
+    docs = table(spark, sf_dir, "documents")
+    target = table(spark, sf_dir, "labels").where("quality = 1")
+    return lmscore.score(docs, lmscore.fit(docs, target))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_line_dedup, op3_packing, op4_topk, op5_quality, op6_toxicity, op7_jaccard_join, op8_substring_dedup, op9_embedding_dedup)}
+    return {f.__name__: f for f in (op1_bpe, op2_line_dedup, op3_packing, op4_topk, op5_quality, op6_toxicity, op7_jaccard_join, op8_substring_dedup, op9_embedding_dedup, op10_lm_scoring)}
 
 
 def oracle_sql() -> dict[str, str]:
