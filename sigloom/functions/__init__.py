@@ -1 +1 @@
-
+"""Scalar expressions; everything here stays in the JVM."""

@@ -1 +1 @@
-
+"""Relational operators: each takes DataFrames and parameters and gives a DataFrame."""

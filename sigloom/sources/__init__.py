@@ -1 +1 @@
-
+"""Reading files and tables, and writing results."""

@@ -1 +1 @@
-
+"""The stateful operators as Structured Streaming queries."""
