@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from sigloom.llm import words as w
 from sigloom.llm.grouping import lists
-from sigloom.llm.shared import written
+from sigloom.llm.shared import dropped, written
 
 #: A tree takes this many suffixes, or this share (a power of two) of all if that is more.
 TREE, SHARE = 4000, 14
@@ -134,7 +134,7 @@ def trees(rows: DataFrame) -> DataFrame:
         full = written(left.where(F.col("level") == k).groupBy(*keys).agg(F.count("*").alias("many")).where(F.col("many") > most).drop("many"), "full")
         left = left.join(F.broadcast(full.withColumn("deeper", F.lit(True))), keys, "left").withColumn("level", F.when((F.col("level") == k) & F.col("deeper"), k + 1).otherwise(F.col("level"))).drop("deeper")
     tree = F.when(F.col("level") == 1, F.xxhash64(F.lit(1), "h1")).when(F.col("level") == 2, F.xxhash64(F.lit(2), "h1", "h2")).otherwise(F.xxhash64(F.lit(3), "h1", "h2", "h3"))
-    certain = left.where("again or level > 3").select("c1", "c2", "at")
+    certain = left.where("level > 3").select("c1", "c2", "at")
 
     def run(batches):
         """Suffixes come in the order of their tree's leaves; neighbours that agree at every level share a full node."""
@@ -150,14 +150,15 @@ def trees(rows: DataFrame) -> DataFrame:
             deep[1:] |= same
             deep[:-1] |= same
             deep[0] |= pending
+            deep |= b.column(6).to_numpy(zero_copy_only=False)
             last = b.num_rows - 1
             held, pending, deep[last] = b.slice(last), bool(deep[last]), False
             yield b.filter(pa.array(deep)).select([3, 4, 5])
         if pending:
             yield held.select([3, 4, 5])
 
-    dealt = left.where("level <= 3").withColumn("tree", tree).repartition("tree").sortWithinPartitions("tree", "h1", "h2", "h3").select("h1", "h2", "h3", "c1", "c2", "at")
-    return certain.unionByName(dealt.mapInArrow(run, "c1 long, c2 long, at int")).distinct()
+    dealt = left.where("level <= 3").withColumn("tree", tree).repartition("tree").sortWithinPartitions("tree", "h1", "h2", "h3").select("h1", "h2", "h3", "c1", "c2", "at", "again")
+    return certain.unionByName(dealt.mapInArrow(run, "c1 long, c2 long, at int"))
 
 
 def cleaned(texts: DataFrame, span: int) -> DataFrame:
@@ -209,14 +210,17 @@ def remove_repeats(docs: DataFrame, span: int = 50, keep_text: bool = False) ->
     classes = rows.groupBy("c1", "c2", "n").agg(F.count("*").alias("copies"), F.min("doc_id").alias("rep"))
     known = rows.join(classes, ["c1", "c2", "n"]).withColumn("anchors", F.when(F.col("doc_id").eqNullSafe(F.col("rep")), F.col("anchors")))
     known = written(known.select("doc_id", "c1", "c2", "n", "sha", "copies", "anchors"), "known")
+    dropped(rows)
 
     entries = known.where("anchors is not null").select("doc_id", "c1", "c2", "copies", F.explode("anchors").alias("anchor"))
     shared = entries.groupBy("anchor").agg(F.count("*").alias("many")).where("many > 1").select("anchor")
     wanted = written(entries.join(shared, "anchor").groupBy("doc_id", "c1", "c2", "copies").agg(F.collect_set("anchor").alias("shared")), "wanted")
     wanted = wanted.withColumnRenamed("doc_id", "id")
     texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")))
-    found = trees(written(suffixes(texts, span), "suffixes")).groupBy("c1", "c2").agg(F.collect_list("at").alias("found"))
+    leaves = written(suffixes(texts, span), "suffixes")
+    found = trees(leaves).groupBy("c1", "c2").agg(F.collect_list("at").alias("found"))
     found = written(wanted.where("copies = 1").select("id", "c1", "c2").join(found, ["c1", "c2"]), "found")
+    dropped(leaves)
     after = cleaned(docs.join(found, F.col("doc_id").eqNullSafe(F.col("id"))), span)
 
     out = known.select("doc_id", "c1", "c2", "n", F.col("sha").alias("whole"), "copies").join(after, ["c1", "c2"], "left")
