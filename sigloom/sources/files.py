@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,6 +84,19 @@ def read_csv_parts(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("ignoreMissingFiles", True).option("enforceSchema", False).option("pathGlobFilter", "*.csv").csv(path)
 
 
+@F.pandas_udf(T.StringType())
+def _decoded(content: pd.Series) -> pd.Series:
+    def text(raw):
+        if raw is None:
+            return None
+        try:
+            return raw.decode("gb18030")
+        except UnicodeDecodeError:
+            return raw.decode("latin-1")
+
+    return content.map(text)
+
+
 def lines(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
     """rel, line (from 1) and text of all matching files: as UTF-8 where that is valid, else GB18030 where that is, else Latin-1.
 
@@ -91,9 +105,9 @@ def lines(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
     base = root.split("://")[-1].rstrip("/")
     rel = F.substring_index(F.regexp_replace("path", "^[a-z]+:/+", "/"), base + "/", -1)
-    chinese = F.expr("decode(content, 'GB18030')")
-    valid = F.when(~chinese.contains("\ufffd"), chinese)
-    text = F.coalesce(F.expr("try_validate_utf8(cast(content as string))"), valid, F.expr("decode(content, 'ISO-8859-1')"))
+    utf8 = F.expr("try_validate_utf8(cast(content as string))")
+    # the JVM side knows few encodings; only files that are no UTF-8 go through Python
+    text = F.when(utf8.isNotNull(), utf8).otherwise(_decoded(F.when(utf8.isNull(), F.col("content"))))
     text = F.regexp_replace(text, "^﻿", "")
     return files.select(rel.alias("rel"), F.posexplode(F.split(text, "\r?\n")).alias("line", "text")).withColumn("line", F.col("line") + 1)
 
