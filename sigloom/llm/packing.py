@@ -71,7 +71,9 @@ def plan(counts: dict[int, int], limits: Limits) -> np.ndarray:
                 room, start, n = residual[at].copy(), first[at], many[at]
             else:
                 at, room, start, n = -1, full, sequences, left
-            each = int((room // piece).min()) if limits.rule == "norm" else 1
+            # the sequence just used has the least residual: by norm it is the best again while it has room, by
+            # product the last of its kind; a new sequence stays the only one with room until it is full
+            each = int((room // piece).min()) if limits.rule == "norm" or at < 0 else 1
             each = min(each, left)
             n = min(int(n), left // each)
             rows.append((length, rank, start, each, int(full[0] - room[0])))
