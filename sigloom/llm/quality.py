@@ -19,15 +19,20 @@ from sigloom.llm import words as w
 from sigloom.llm.labelled import learning, thinned
 
 WIDTH, FILTERS, HIDDEN, HALF, LAGS = 5, 12, 16, 128, 40
+#: Steps of fitting at least, however few the texts.
+STEPS = 500
 
 
 def padded(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The texts' bytes, each from a multiple of HALF on and with LAGS zeros after it at least; halves of each text."""
+    """The texts' bytes in halves of their own, and the number of each text's.
+
+    WIDTH - 1 zeros stand before a text and LAGS at least after it, so that neither filters nor lags reach another text.
+    """
     n = np.diff(at)
-    halves = np.maximum(1, -(-(n + LAGS) // HALF))
+    halves = np.maximum(1, -(-(n + LAGS + WIDTH - 1) // HALF))
     begin = (np.cumsum(halves) - halves) * HALF
     out = np.zeros(int(halves.sum()) * HALF + LAGS, np.uint8)
-    out[np.arange(len(data)) + np.repeat(begin - at[:-1], n)] = data
+    out[np.arange(len(data)) + np.repeat(begin + WIDTH - 1 - at[:-1], n)] = data
     return out, halves
 
 
@@ -103,7 +108,7 @@ class Network:
         p = self.p
         moment = {k: np.zeros_like(v) for k, v in p.items()}
         square = {k: np.zeros_like(v) for k, v in p.items()}
-        t = 0
+        t, epochs = 0, max(epochs, STEPS * batch // max(1, len(texts)))
         for epoch in range(epochs):
             order = rng.permutation(len(texts))
             for i in range(0, len(order), batch):
