@@ -25,13 +25,15 @@ from pyspark.sql import functions as F
 from sigloom.llm import words as w
 from sigloom.llm.components import components
 from sigloom.llm.grouping import lists, runs
-from sigloom.llm.shared import written
+from sigloom.llm.shared import dropped, written
 
 #: A token is weighty when it makes up more than this share of all; so there are 2**18 of them at most.
 WEIGHTY = 18
 #: Tokens counted together before only those seen this often are passed on.
-TALLY, SEEN = 4_000_000, 4
+TALLY, SEEN = 2_000_000, 3
 BLOCK = 128
+#: So many of a document's leading tokens, evenly spaced, tell how many lie below a given one.
+MARKS = 16
 LEVELS = 31
 
 
@@ -123,53 +125,67 @@ def leading(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, s1 long, s2 long, lead array<long>")
 
 
-def bound(x: np.ndarray, n: int, members: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """At most so many tokens x shares with each member; all given by leading tokens and set sizes."""
-    which = np.repeat(np.arange(len(sizes)), np.diff(at))
-    place = np.minimum(np.searchsorted(x, members), len(x) - 1)
-    common = np.bincount(which[x[place] == members], minlength=len(sizes))
-    last = np.minimum(members[at[1:] - 1], x[-1])
-    beyond_x = n - np.searchsorted(x, last, "right")
-    beyond = sizes - np.bincount(which[members <= np.repeat(last, np.diff(at))], minlength=len(sizes))
-    return common + np.minimum(beyond_x, beyond)
+def beyond(n: np.ndarray, many: np.ndarray, marks: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """At most so many of a document's n tokens come after ``last``; it has ``many`` leading ones and their marks."""
+    below = (marks <= last[:, None]).sum(axis=1)
+    return n - -(-below * many // MARKS)
+
+
+class Documents:
+    """A batch's columns n, many, shared (31 bits of the leading tokens that others have too) and marks, for bounding pairs."""
+
+    def __init__(self, table: pa.Table | pa.RecordBatch, suffix: str = ""):
+        self.n, self.many = (table.column(k + suffix).to_numpy() for k in ("n", "many"))
+        self.values, self.at = lists(table.column("shared" + suffix))
+        self.marks = lists(table.column("marks" + suffix))[0].view(np.uint64).reshape(-1, MARKS)
+
+    def shared(self, row: int) -> np.ndarray:
+        return self.values[self.at[row] : self.at[row + 1]]
+
+    def rest(self, rows: np.ndarray, other: Documents, theirs: np.ndarray) -> np.ndarray:
+        """What rows and theirs can share at most of the tokens that one of them has not listed."""
+        last = np.minimum(self.marks[rows, -1], other.marks[theirs, -1])
+        return np.minimum(beyond(self.n[rows], self.many[rows], self.marks[rows], last), beyond(other.n[theirs], other.many[theirs], other.marks[theirs], last))
 
 
 def open_groups(group: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a, b) of documents in one group whose bounds allow a link.
 
     ``group`` has token, i, j (two blocks of the token's group, i <= j), block,
-    doc, comp, n and lead; it is dealt and sorted by token, i, j here.
+    doc, comp, early (whether the token is an early one of its) and what :class:`Documents` takes; it is dealt and sorted by token, i, j here.
     """
 
     def run(batches):
         for g in runs(batches, ["token", "i", "j"]):
-            doc, comp, n, block = (g[c].to_numpy() for c in ("doc", "comp", "n", "block"))
+            doc, comp, block = (g[c].to_numpy() for c in ("doc", "comp", "block"))
+            early = g["early"].to_numpy()
             i, j = g["i"][0].as_py(), g["j"][0].as_py()
-            values, at = lists(g["lead"])
-            values = values.view(np.uint64)
-            group_rows = np.flatnonzero(block == i)
-            queries = group_rows if i == j else np.flatnonzero(block == j)
-            members = np.concatenate([values[at[r] : at[r + 1]] for r in group_rows]) if len(group_rows) else values[:0]
-            offsets = np.concatenate([[0], np.cumsum(at[group_rows + 1] - at[group_rows])])
-            union = np.unique(members)
-            if not len(union):
+            d = Documents(g)
+            members = np.flatnonzero(block == i)
+            queries = members if i == j else np.flatnonzero(block == j)
+            if not len(members):
                 continue
-            sizes, a, b = n[group_rows], [], []
-            unlisted = (sizes - np.diff(offsets)).max()
+            listed = [d.shared(r) for r in members]
+            tokens, owner = np.concatenate(listed), np.repeat(np.arange(len(members)), [len(x) for x in listed])
+            union = np.unique(tokens)
+            a, b = [], []
             for r in queries:
-                x = values[at[r] : at[r + 1]]
-                fits = (den * np.minimum(sizes, n[r]) >= num * np.maximum(sizes, n[r])) & (comp[group_rows] != comp[r])
+                n, m = d.n[members], d.n[r]
+                fits = (den * np.minimum(n, m) >= num * np.maximum(n, m)) & (comp[members] != comp[r])
+                fits &= (early[members] & (n <= m)) | (early[r] & (n >= m))
                 if i == j:
-                    fits &= doc[group_rows] < doc[r]
+                    fits &= doc[members] < doc[r]
                 if not fits.any():
                     continue
-                # the group's bound: what x has in the union, and what its own list or the members' lists leave out
-                shared = int((union[np.minimum(np.searchsorted(union, x), len(union) - 1)] == x).sum())
-                loose = n[r] - len(x) + int((x > members[offsets[1:] - 1].min()).sum())
-                least = required(n[r], sizes[fits].min(), num, den)
-                if shared + min(loose, unlisted + int(np.diff(offsets).max())) < least:
+                x = d.shared(r)
+                rest = d.rest(np.full(len(members), r), d, members)
+                least = required(m, n, num, den)
+                # the group's bound: no member shares more than the union does, and the largest rest
+                shared = np.isin(x, union).sum()
+                if not (fits & (shared + rest >= least)).any():
                     continue
-                good = group_rows[fits & (bound(x, n[r], members, offsets, sizes) >= required(n[r], sizes, num, den))]
+                common = np.bincount(owner[np.isin(tokens, x)], minlength=len(members))
+                good = members[fits & (common + rest >= least)]
                 a += np.minimum(doc[good], doc[r]).tolist()
                 b += np.maximum(doc[good], doc[r]).tolist()
             if a:
@@ -179,6 +195,21 @@ def open_groups(group: DataFrame, num: int, den: int) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def allowed(pairs: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) whose bound allows a link, of pairs with both documents' columns, those of b with _b."""
+
+    def run(batches):
+        for t in batches:
+            if not t.num_rows:
+                continue
+            x, y, rows = Documents(t), Documents(t, "_b"), np.arange(t.num_rows)
+            common = np.array([np.isin(x.shared(k), y.shared(k)).sum() for k in rows])
+            keep = common + x.rest(rows, y, rows) >= required(x.n, y.n, num, den)
+            yield t.select(["a", "b"]).filter(pa.array(keep))
+
+    return pairs.mapInArrow(run, "a long, b long")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """Those of the written pairs (a, b) whose whole token sets have the similarity."""
 
@@ -218,45 +249,44 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = written(leading(docs, size, num, den), "lead")
     sets = rows.where("n > 0 and doc_id is not null")
-    classes = sets.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
-    members = written(sets.join(classes, ["n", "s1", "s2"]).select("doc_id", "n", "rep", F.when(F.col("doc_id") == F.col("rep"), F.col("lead")).alias("lead")), "members")
-    reps = members.where("lead is not null").select(F.col("rep").alias("doc"), "n", "lead")
-
-    entries = reps.select(F.explode("lead").alias("token"), "doc", "n")
-    matrix = entries.groupBy("token").agg(F.count("*").alias("many"), F.min(F.struct("doc", "n")).alias("hub")).where("many > 1")
-    matrix = written(entries.join(matrix, "token").select("token", "doc", "n", "many", "hub"), "matrix")
+    classes = written(sets.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep")), "classes")
+    same = sets.join(classes, ["n", "s1", "s2"])
+    members = written(same.select("doc_id", "n", "rep").unionByName(rows.where("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("rep"))), "members")
+    reps = written(same.where("doc_id = rep").select(F.col("rep").alias("doc"), "n", "lead"), "reps")
+    dropped(rows, classes)
+
+    # of two linked sets the smaller shows a common token this early, the larger within all its leading ones
+    early = F.col("n") - F.floor((2 * num * F.col("n") + num + den - 1) / (num + den)) + 1
+    entries = reps.select("doc", "n", early.alias("until"), F.posexplode("lead").alias("place", "token")).select("token", "doc", "n", (F.col("place") < F.col("until")).alias("early"))
+    tokens = entries.groupBy("token").agg(F.count("*").alias("group"), F.min(F.struct("doc", "n", "early")).alias("hub"), F.bool_or("early").alias("any")).where("group > 1")
+    tokens = written(tokens, "tokens")
+    matrix = written(entries.join(tokens, "token").select("token", "doc", "n", "early", "group", "hub", "any"), "matrix")
+    dropped(tokens)
+
+    marks = F.transform(F.sequence(F.lit(1), F.lit(MARKS)), lambda i: F.get("lead", (F.ceil(i * F.size("lead") / MARKS) - 1).cast("int")))
+    shared = matrix.groupBy("doc").agg(F.collect_list(F.col("token").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("shared"))
+    brief = written(reps.select("doc", "n", F.size("lead").cast("long").alias("many"), marks.alias("marks")).join(shared, "doc"), "brief")
+    dropped(reps)
 
     near = F.lit(den) * F.least("n", "hub.n") >= F.lit(num) * F.greatest("n", "hub.n")
-    hubs = written(matrix.where(near & (F.col("doc") != F.col("hub.doc"))).select(F.col("hub.doc").alias("i"), "doc").distinct(), "hubs")
-    first = hubs.join(reps.select(F.col("doc").alias("i"), F.col("n").alias("m"), F.col("lead").alias("hub")), "i").join(reps, "doc")
-    links = written(verified(written(allowed(first, num, den), "pairs"), docs, size, num, den), "links")
+    shown = F.when(F.col("n") < F.col("hub.n"), F.col("early")).when(F.col("n") > F.col("hub.n"), F.col("hub.early")).otherwise(F.col("early") | F.col("hub.early"))
+    hubs = matrix.where(near & shown & (F.col("doc") != F.col("hub.doc"))).select(F.col("hub.doc").alias("a"), F.col("doc").alias("b")).distinct()
+    both = hubs.join(brief.withColumnRenamed("doc", "a"), "a").join(brief.select(F.col("doc").alias("b"), *(F.col(c).alias(f"{c}_b") for c in brief.columns if c != "doc")), "b")
+    links = written(verified(written(allowed(both, num, den), "pairs"), docs, size, num, den), "links")
     joined = components(links)
 
-    known = matrix.join(joined.withColumnRenamed("id", "doc"), "doc", "left").select("token", "doc", "n", "many", F.coalesce("component", "doc").alias("comp"))
+    # groups of two were compared in full with their smallest members
+    known = matrix.where("any and group > 2").join(joined.withColumnRenamed("id", "doc"), "doc", "left").select("token", "doc", "early", "group", F.coalesce("component", "doc").alias("comp"))
     known = written(known, "known")
+    dropped(matrix)
     open_ = known.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("token")
-    blocks = F.ceil(F.col("many") / BLOCK).cast("int")
-    active = known.join(open_, "token").select("token", "doc", "comp", blocks.alias("blocks"), F.pmod(F.xxhash64("doc"), blocks).cast("int").alias("block"))
-    active = active.join(reps, "doc").select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    grid = active.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc", "comp", "n", "lead")
-    more = written(verified(written(open_groups(grid, num, den), "pairs"), docs, size, num, den), "links")
-
-    found = components(links.unionByName(more)).withColumnRenamed("id", "rep")
-    out = members.select("doc_id", "n", "rep").join(found, "rep", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
-    alone = rows.where("n = 0 or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return out.unionByName(alone)
-
-
-def allowed(pairs: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) of i with hub (m tokens) and doc with lead (n tokens) whose bound allows a link."""
-
-    def run(batches):
-        for b in batches:
-            x, xa = lists(b.column("hub"))
-            y, ya = lists(b.column("lead"))
-            x, y = x.view(np.uint64), y.view(np.uint64)
-            m, n = b.column("m").to_numpy(), b.column("n").to_numpy()
-            keep = [bool(bound(x[xa[k] : xa[k + 1]], m[k], y[ya[k] : ya[k + 1]], np.array([0, ya[k + 1] - ya[k]]), n[k : k + 1])[0] >= required(m[k], n[k], num, den)) for k in range(b.num_rows)]
-            yield pa.record_batch([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return pairs.select(F.col("i").alias("a"), F.col("doc").alias("b"), "m", "n", "hub", "lead").mapInArrow(run, "a long, b long")
+    blocks = F.ceil(F.col("group") / BLOCK).cast("int")
+    active = known.join(open_, "token").select("token", "doc", "early", "comp", blocks.alias("blocks"), F.pmod(F.xxhash64("doc"), blocks).cast("int").alias("block"))
+    active = active.join(brief, "doc").select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    grid = active.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc", "early", "comp", "n", "many", "shared", "marks")
+    found = written(open_groups(grid, num, den), "pairs")
+    dropped(brief, known)
+    more = written(verified(found, docs, size, num, den), "links")
+
+    linked = components(links.unionByName(more)).withColumnRenamed("id", "rep")
+    return members.join(linked, "rep", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
