@@ -50,8 +50,8 @@ def _exploded(chunked: DataFrame) -> DataFrame:
     return rows.withColumn("key", F.xxhash64("chunk")).withColumn("size", F.octet_length("chunk"))
 
 
-def remove_repeated_chunks(docs: DataFrame, window: int = WINDOW, modulus: int = MODULUS) -> DataFrame:
-    """Per row doc_id, n_lines, n_removed (lines) and kept, the lines that stay joined by line feeds.
+def remove_repeated_chunks(docs: DataFrame, window: int = WINDOW, modulus: int = MODULUS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Per row doc_id, columns ``keep``, n_lines, n_removed (lines) and kept, the lines that stay joined by line feeds.
 
     A chunk's occurrences are told apart by doc_id (nulls first), text and place; rows that repeat
     both doc_id and text are one occurrence and keep the same. A null text is empty, and an empty text is
@@ -59,30 +59,31 @@ def remove_repeated_chunks(docs: DataFrame, window: int = WINDOW, modulus: int =
     with one 64-bit hash and length, the first alone can be matched. An empty
     table gives an empty one; other columns are ignored.
     """
-    docs = docs.select("doc_id", "text")
-    chunked = with_chunks(docs, window, modulus)
-    chunks = _exploded(chunked)
+    docs = docs.select("doc_id", "text", *(F.col(c).alias(f"keep{i}") for i, c in enumerate(keep)))
+    chunks = _exploded(with_chunks(docs.select("doc_id", "text"), window, modulus))
     place = F.struct("doc_id", "th", "k")
     keys = chunks.groupBy("key", "size").agg(F.min(place).alias("first"), F.max(place).alias("last")).where(~F.col("first").eqNullSafe(F.col("last"))).drop("last")
-    repeated = written(chunks.join(keys, ["key", "size"]).withColumn("is_first", place.eqNullSafe(F.col("first"))), "chunks")
-    firsts = repeated.where("is_first").groupBy("key", "size").agg(F.first("chunk").alias("bytes"))
-    removed = repeated.where("not is_first").join(firsts, ["key", "size"]).where(F.col("chunk") == F.col("bytes"))
+    # tables written here leave each join below alone in its stage, where a key with very many rows can be split
+    keys = written(keys, "keys")
+    repeated = written(chunks.join(keys, ["key", "size"]).withColumn("is_first", place.eqNullSafe(F.col("first"))).drop("first"), "chunks")
+    firsts = written(repeated.where("is_first").groupBy("key", "size").agg(F.first("chunk").alias("bytes")), "firsts")
+    removed = repeated.where("not is_first").join(firsts, ["key", "size"]).where(F.col("chunk") == F.col("bytes")).select("doc_id", "th", "k")
     removed = removed.groupBy("doc_id", "th").agg(F.collect_set("k").alias("gone"))
     removed = removed.select(F.col("doc_id").alias("id"), F.col("th").alias("of"), F.array_sort("gone").alias("gone"))
-    all_ = chunked.withColumn("th", F.xxhash64("text"))
-    found = all_.join(removed, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("th") == F.col("of")), "left")
+    found = docs.join(removed, F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("of")), "left")
+    found = with_chunks(found, window, modulus)
     ends = F.col("ends")
     spans = F.transform("gone", lambda k: F.struct(F.coalesce(F.get(ends, k - 1), F.lit(0)).alias("begin"), F.get(ends, k).alias("end")))
     found = found.withColumn("spans", F.coalesce(spans, F.array().cast("array<struct<begin:int,end:int>>")))
     # the lines between removed spans, taken span by span so that the work follows the number of lines
-    count = F.size("spans")
-    spans = F.col("spans")
+    count, spans = F.size("spans"), F.col("spans")
     begin = lambda i: F.when(i == 0, 0).otherwise(F.get(spans, i - 1)["end"])
     end = lambda i: F.when(i == count, F.size("lines")).otherwise(F.get(spans, i)["begin"])
     kept = F.flatten(F.transform(F.sequence(F.lit(0), count), lambda i: F.slice("lines", begin(i) + 1, end(i) - begin(i))))
     gone = F.aggregate(spans, F.lit(0), lambda a, s: a + s["end"] - s["begin"])
-    out = found.select("doc_id", F.size("lines").alias("n_lines"), gone.alias("n_removed"), F.when(gone > 0, F.array_join(kept, "\n")).otherwise(F.coalesce("text", F.lit(""))).alias("kept"))
-    return out
+    text = F.when(gone > 0, F.array_join(kept, "\n")).otherwise(F.coalesce("text", F.lit("")))
+    out = found.select("doc_id", *(f"keep{i}" for i in range(len(keep))), F.size("lines").alias("n_lines"), gone.alias("n_removed"), text.alias("kept"))
+    return out.toDF("doc_id", *keep, "n_lines", "n_removed", "kept")
 
 
 ORACLE = f"""
