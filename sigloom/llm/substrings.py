@@ -207,14 +207,18 @@ def remove_repeats(docs: DataFrame, span: int = 50, keep_text: bool = False) ->
     """
     docs = docs.select("doc_id", "text")
     rows = written(profile(docs, span), "profile")
-    classes = rows.groupBy("c1", "c2", "n").agg(F.count("*").alias("copies"), F.min("doc_id").alias("rep"))
-    known = rows.join(classes, ["c1", "c2", "n"]).withColumn("anchors", F.when(F.col("doc_id").eqNullSafe(F.col("rep")), F.col("anchors")))
-    known = written(known.select("doc_id", "c1", "c2", "n", "sha", "copies", "anchors"), "known")
-    dropped(rows)
-
-    entries = known.where("anchors is not null").select("doc_id", "c1", "c2", "copies", F.explode("anchors").alias("anchor"))
+    # written, so that the join below stands alone in its stage and a class with very many copies can be split
+    classes = written(rows.groupBy("c1", "c2", "n").agg(F.count("*").alias("copies"), F.min("doc_id").alias("rep")), "classes")
+    known = rows.join(classes, ["c1", "c2", "n"])
+    reps = written(known.where(F.col("doc_id").eqNullSafe(F.col("rep")) & (F.size("anchors") > 0)).select("doc_id", "c1", "c2", "copies", "anchors"), "anchors")
+    known = written(known.select("doc_id", "c1", "c2", "n", "sha", "copies"), "known")
+    dropped(rows, classes)
+
+    entries = reps.select("doc_id", "c1", "c2", "copies", F.explode("anchors").alias("anchor"))
     shared = entries.groupBy("anchor").agg(F.count("*").alias("many")).where("many > 1").select("anchor")
+    shared = written(shared, "shared")
     wanted = written(entries.join(shared, "anchor").groupBy("doc_id", "c1", "c2", "copies").agg(F.collect_set("anchor").alias("shared")), "wanted")
+    dropped(reps, shared)
     wanted = wanted.withColumnRenamed("doc_id", "id")
     texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")))
     leaves = written(suffixes(texts, span), "suffixes")
