@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sigloom.llm import words as w
-from sigloom.llm.shared import written
+from sigloom.llm.shared import dropped, written
 
 #: Words and bigrams that the models list at most; lengths of unlisted words that are told apart.
 WORDS, PAIRS, LENGTHS = 1 << 16, 1 << 20, 16
@@ -130,7 +130,8 @@ def fit(docs: DataFrame, target: DataFrame, words: int = WORDS, pairs: int = PAI
     the left word's unlisted mass is spread like unigrams. Unigrams are
     smoothed by one half of a count.
     """
-    rows = docs.join(target.select("doc_id").distinct().withColumn("is_target", F.lit(True)), "doc_id", "left").select("text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
+    # a merge join at every size: the set of targets grows with the corpus
+    rows = docs.join(target.select("doc_id").distinct().withColumn("is_target", F.lit(True)).hint("merge"), "doc_id", "left").select("text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
     rows = written(rows, "texts")  # read three times
 
     def hashes(data, at):
@@ -173,6 +174,7 @@ def fit(docs: DataFrame, target: DataFrame, words: int = WORDS, pairs: int = PAI
     # one count is set aside, and all of what is unlisted, for what a left word is not seen with
     ratio = two / total[left] if len(pair) else np.zeros((0, 2))
     loose = 1 - following / total
+    dropped(rows, counted, twos)
     # listed pairs never seen in the target still have what backing off gives them
     ratio = np.maximum(ratio, loose[left] * unigram[pair & 0xFFFFFFFF]) if len(pair) else ratio
     return Models(word, unigram.astype(np.float32), pair, ratio.astype(np.float32), loose.astype(np.float32))
