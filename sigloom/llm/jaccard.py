@@ -32,6 +32,7 @@ WEIGHTY = 18
 #: Tokens counted together before only those seen this often are passed on.
 TALLY, SEEN = 2_000_000, 3
 BLOCK = 128
+SIEVE = 1 << 24
 #: So many of a document's leading tokens, evenly spaced, tell how many lie below a given one.
 MARKS = 16
 LEVELS = 31
@@ -210,11 +211,30 @@ def allowed(pairs: DataFrame, num: int, den: int) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long")
 
 
+def _bits(ids: DataFrame) -> np.ndarray:
+    """A bitmap of SIEVE bits with those of all ids set: of fixed size, so it can be broadcast whatever their number."""
+    h = F.pmod(F.xxhash64("doc_id"), F.lit(SIEVE))
+    rows = ids.select(F.shiftright(h, 6).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {SIEVE}L) & 63 as int))").alias("bit"))
+    found = rows.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(SIEVE >> 6, np.uint64)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return out
+
+
 def verified(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """Those of the written pairs (a, b) whose whole token sets have the similarity."""
+    """Those of the written pairs (a, b) whose whole token sets have the similarity.
+
+    Texts stay where they are: a bitmap of the ids in pairs lets most others
+    go, those that slip through are left out by the joins, and only token sets are shuffled.
+    """
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
+    wanted = docs.sparkSession.sparkContext.broadcast(_bits(ids))
 
     def sets(batches):
         for b in batches:
+            h = b.column(2).to_numpy().astype(np.uint64)
+            keep = (wanted.value[(h >> w.U(6)).astype(np.int64)] >> (h & w.U(63))) & w.U(1) > 0
+            b = b.filter(pa.array(keep))
             for i, token, text, many in token_sets(b.column(1), size):
                 at = np.searchsorted(text, np.arange(many + 1))
                 yield pa.record_batch([b.column(0).slice(i, many), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(token.view(np.int64)))], names=["doc_id", "tokens"])
@@ -230,9 +250,8 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int) -
                 keep.append(same > 0 and den * same >= num * (len(p) + len(q) - same))
             yield pa.record_batch([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    wanted = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
-    full = written(wanted.mapInArrow(sets, "doc_id long, tokens array<long>"), "sets")
+    rows = docs.where("doc_id is not null").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(SIEVE)).alias("h"))
+    full = written(rows.mapInArrow(sets, "doc_id long, tokens array<long>"), "sets")
     left, right = full.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x")), full.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
