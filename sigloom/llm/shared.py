@@ -34,6 +34,12 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def released(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of plans that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it again.
 
@@ -43,8 +49,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/sigloom/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path, compression="zstd")
-    gc.collect()  # lets Spark drop the shuffle files of plans that nothing refers to any more
-    spark.sparkContext._jvm.System.gc()
+    released(spark)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_at = path
     return out

@@ -315,3 +315,33 @@ def test_language_model_scores_brute_force(spark):
     assert got[1]["score"] > got[0]["score"]
     empty = docs(spark, {1: "a"}).limit(0)
     assert lmscore.score(empty, lmscore.fit(empty, empty.select("doc_id"))).count() == 0
+
+
+@pytest.mark.parametrize("least", [1, 2])
+def test_language_models_keep_all_words_and_bigrams(spark, least):
+    # 70,000 words and 1.2 million bigrams; without copies nearly all bigrams occur once
+    rng = np.random.default_rng(5)
+    drawn = rng.integers(0, 70_000, (600, 2000))
+    drawn[:35] = rng.permutation(70_000).reshape(35, 2000)
+    texts = {i: " ".join(f"w{x}" for x in row) for i, row in enumerate(drawn)}
+    copies = 2 if least == 2 else 1
+    every = {i + 1000 * c: t for i, t in texts.items() for c in range(copies)}
+    target = [i for i in every if i % 3 == 0]
+    models = lmscore.fit(docs(spark, every), spark.createDataFrame([(i,) for i in target], "doc_id long"), **({"least": 1} if least == 1 else {}))
+    got = {r["doc_id"]: r["score"] for r in lmscore.score(docs(spark, every), models).collect()}
+    weight = np.array([[sum(j in set(target) for j in (i, i + 1000)[:copies]), copies] for i in range(600)])
+    count, inner = np.zeros((70_000, 2)), np.zeros((70_000, 2))
+    pair = drawn[:, :-1] * 70_000 + drawn[:, 1:]
+    keys, place = np.unique(pair, return_inverse=True)
+    place = place.reshape(pair.shape)
+    two = np.column_stack([np.bincount(place.ravel(), np.repeat(weight[:, k], 1999)) for k in (0, 1)])
+    for k in (0, 1):
+        np.add.at(count[:, k], drawn.ravel(), np.repeat(weight[:, k], 2000))
+        np.add.at(inner[:, k], drawn[:, :-1].ravel(), np.repeat(weight[:, k], 1999))
+    assert len(count) > 1 << 16 and len(keys) > 1 << 20
+    uni = (count + 0.5) / (count.sum(axis=0) + 0.5 * (70_000 + lmscore.LENGTHS))
+    for i in range(0, 600, 7):
+        a, b = drawn[i, :-1], drawn[i, 1:]
+        p = 0.4 * uni[b] + 0.6 * np.maximum(two[place[i]] / (count[a] + 1), (1 - inner[a] / (count[a] + 1)) * uni[b])
+        gain = np.diff(np.log2(np.concatenate([uni[drawn[i, :1]], p]))[:, ::-1], axis=1)
+        assert abs(got[i] - gain.mean()) < 1e-6
