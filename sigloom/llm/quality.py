@@ -152,24 +152,13 @@ class Network:
         return self
 
 
-def pieces(text: bytes, many: int = 4, size: int = 1024) -> bytes:
-    """What of a long text is used in fitting: pieces from evenly spaced places."""
-    if len(text) <= many * size:
-        return text
-    return b"".join(text[i : i + size] for i in (round(k * (len(text) - size) / (many - 1)) for k in range(many)))
-
-
 def train(docs: DataFrame, labels: DataFrame, most: int = 3000) -> Network:
-    """Fit on about ``most`` labelled texts at most, none of them held out; half of each label where there are enough."""
+    """Fit on about ``most`` whole labelled texts at most, none of them held out; half of each label where there are enough."""
     known = learning(labels, "quality")
     # about ``most`` ids: small enough to broadcast
     chosen = thinned(known.where("label = 0"), most // 2).unionByName(thinned(known.where("label = 1"), most - most // 2))
 
-    def cut(batches):
-        for b in batches:
-            yield pa.record_batch([pa.array([pieces((x or "").encode()) for x in b.column(0).to_pylist()], pa.binary()), b.column(1)], names=["text", "label"])
-
-    rows = docs.join(F.broadcast(chosen), "doc_id").select("text", "label").mapInArrow(cut, "text binary, label int").toArrow()
+    rows = docs.join(F.broadcast(chosen), "doc_id").select(F.coalesce("text", F.lit("")).cast("binary").alias("text"), "label").toArrow()
     texts, label = rows["text"].to_pylist(), rows["label"].to_numpy().astype(np.float32)
     order = sorted(range(len(texts)), key=lambda i: (texts[i], label[i]))  # the same model whatever the order of rows
     network = Network()

@@ -179,3 +179,14 @@ def test_pipeline_takes_odd_rows(spark):
         for _, stage in corpus_pipeline.STAGES:
             docs = written(stage(spark, docs, SF), "odd")
         assert docs.count() == (5 if rows is odd else 0)
+
+
+def test_quality_learns_from_whole_texts(spark, monkeypatch):
+    # a poor part between what four excerpts of 1024 bytes would show
+    texts = {i: "fine words here. " * 200 + (f"junk{i}!! " * 500 if i % 2 else "") + "fine words here. " * 200 for i in range(60)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2, 0) for i in texts], "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(quality.Network, "fit", lambda self, rows, label: seen.extend(rows))
+    quality.train(docs, labels)
+    assert len(seen) > 20 and set(seen) <= {t.encode() for t in texts.values()}
