@@ -37,6 +37,28 @@ def runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
         yield pa.Table.from_batches(rest)
 
 
+def whole_runs(batches: Iterable[pa.RecordBatch], key: str, least: int) -> Iterator[pa.Table]:
+    """Tables of at least ``least`` rows (the last may have fewer) that cut no run of equal ``key``."""
+    rest: list[pa.RecordBatch] = []
+    many = 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        rest.append(b)
+        many += b.num_rows
+        if many < least:
+            continue
+        t = pa.Table.from_batches(rest)
+        column = t[key].to_numpy()
+        cut = int(np.flatnonzero(column != column[-1])[-1]) + 1 if column[0] != column[-1] else 0
+        if cut:
+            yield t.slice(0, cut)
+            rest = t.slice(cut).to_batches()
+            many -= cut
+    if rest:
+        yield pa.Table.from_batches(rest)
+
+
 def lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Values and offsets of a column of lists without nulls."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column

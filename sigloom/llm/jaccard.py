@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from sigloom.llm import words as w
 from sigloom.llm.components import components
 from sigloom.llm.grouping import lists, runs
-from sigloom.llm.shared import dropped, written
+from sigloom.llm.shared import bounded, dropped, written
 
 #: A token is weighty when it makes up more than this share of all; so there are 2**18 of them at most.
 WEIGHTY = 18
@@ -36,18 +36,23 @@ SIEVE = 1 << 24
 #: So many of a document's leading tokens, evenly spaced, tell how many lie below a given one.
 MARKS = 16
 LEVELS = 31
+#: Columns of a group's union compared at once.
+COLUMNS = 4096
 
 
 def token_sets(column: pa.Array, size: int):
     """For each block of texts: (first row, tokens sorted within each text, text of each, texts)."""
     for i, j, data, at in w.blocks(column):
         start, stop, first = w.words(data, at)
-        sums = w.prefix(w.word_hashes(data, start, stop, fold=True))
+        hashes = w.word_hashes(data, start, stop, fold=True)
         begin, text = w.windows(first, size)
         n = np.diff(first)
-        short = np.flatnonzero((n > 0) & (n < size))
-        token = np.concatenate([w.spans(sums, begin, begin + size), w.spans(sums, first[short], first[short + 1])])
-        text = np.concatenate([text, short])
+        found, of = [w.grams(hashes, size)[begin]], [text]
+        for m in range(1, size):  # a shorter text is one n-gram
+            short = np.flatnonzero(n == m)
+            found.append(w.grams(hashes, m)[first[short]])
+            of.append(short)
+        token, text = np.concatenate(found), np.concatenate(of)
         order = np.lexsort((token, text))
         token, text = token[order], text[order]
         keep = np.ones(len(token), bool)
@@ -128,7 +133,7 @@ def leading(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
 
 def beyond(n: np.ndarray, many: np.ndarray, marks: np.ndarray, last: np.ndarray) -> np.ndarray:
     """At most so many of a document's n tokens come after ``last``; it has ``many`` leading ones and their marks."""
-    below = (marks <= last[:, None]).sum(axis=1)
+    below = (marks <= last[..., None]).sum(axis=-1)
     return n - -(-below * many // MARKS)
 
 
@@ -140,15 +145,33 @@ class Documents:
         self.values, self.at = lists(table.column("shared" + suffix))
         self.marks = lists(table.column("marks" + suffix))[0].view(np.uint64).reshape(-1, MARKS)
 
-    def shared(self, row: int) -> np.ndarray:
-        return self.values[self.at[row] : self.at[row + 1]]
+    def owner(self) -> np.ndarray:
+        """The row of each of ``values``."""
+        return np.repeat(np.arange(len(self.n)), np.diff(self.at))
 
     def rest(self, rows: np.ndarray, other: Documents, theirs: np.ndarray) -> np.ndarray:
-        """What rows and theirs can share at most of the tokens that one of them has not listed."""
+        """What rows and theirs (broadcast against each other) can share at most of the tokens that one of them has not listed."""
         last = np.minimum(self.marks[rows, -1], other.marks[theirs, -1])
         return np.minimum(beyond(self.n[rows], self.many[rows], self.marks[rows], last), beyond(other.n[theirs], other.many[theirs], other.marks[theirs], last))
 
 
+def overlaps(d: Documents, queries: np.ndarray, members: np.ndarray, owner: np.ndarray, column: np.ndarray, width: int) -> np.ndarray:
+    """How many tokens each query shares with each member, by columns of the union, a bounded number at once."""
+    out = np.zeros((len(queries), len(members)), np.float32)
+    row_q, row_m = np.full(len(d.n), -1), np.full(len(d.n), -1)
+    row_q[queries], row_m[members] = np.arange(len(queries)), np.arange(len(members))
+    for x in range(0, width, COLUMNS):
+        some = (column >= x) & (column < x + COLUMNS)
+        sides = []
+        for rows, many in ((row_q, len(queries)), (row_m, len(members))):
+            mine = some & (rows[owner] >= 0)
+            side = np.zeros((many, min(COLUMNS, width - x)), np.float32)
+            side[rows[owner[mine]], column[mine] - x] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T
+    return out
+
+
 def open_groups(group: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a, b) of documents in one group whose bounds allow a link.
 
@@ -164,33 +187,30 @@ def open_groups(group: DataFrame, num: int, den: int) -> DataFrame:
             d = Documents(g)
             members = np.flatnonzero(block == i)
             queries = members if i == j else np.flatnonzero(block == j)
-            if not len(members):
+            if not len(members) or not len(queries):
+                continue
+            q, m = queries[:, None], members[None, :]
+            fits = (den * np.minimum(d.n[q], d.n[m]) >= num * np.maximum(d.n[q], d.n[m])) & (comp[q] != comp[m])
+            fits &= (early[m] & (d.n[q] <= d.n[m])) | (early[q] & (d.n[q] >= d.n[m]))
+            if i == j:
+                fits &= doc[m] < doc[q]
+            if not fits.any():
                 continue
-            listed = [d.shared(r) for r in members]
-            tokens, owner = np.concatenate(listed), np.repeat(np.arange(len(members)), [len(x) for x in listed])
-            union = np.unique(tokens)
-            a, b = [], []
-            for r in queries:
-                n, m = d.n[members], d.n[r]
-                fits = (den * np.minimum(n, m) >= num * np.maximum(n, m)) & (comp[members] != comp[r])
-                fits &= (early[members] & (n <= m)) | (early[r] & (n >= m))
-                if i == j:
-                    fits &= doc[members] < doc[r]
-                if not fits.any():
-                    continue
-                x = d.shared(r)
-                rest = d.rest(np.full(len(members), r), d, members)
-                least = required(m, n, num, den)
-                # the group's bound: no member shares more than the union does, and the largest rest
-                shared = np.isin(x, union).sum()
-                if not (fits & (shared + rest >= least)).any():
-                    continue
-                common = np.bincount(owner[np.isin(tokens, x)], minlength=len(members))
-                good = members[fits & (common + rest >= least)]
-                a += np.minimum(doc[good], doc[r]).tolist()
-                b += np.maximum(doc[good], doc[r]).tolist()
-            if a:
-                yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            owner = d.owner()
+            union = np.unique(d.values[np.isin(owner, members)])
+            column = np.minimum(np.searchsorted(union, d.values), len(union) - 1)
+            column = np.where(union[column] == d.values, column, -1)
+            rest, least = d.rest(q, d, m), required(d.n[q], d.n[m], num, den)
+            # the group's bound: no member shares more than the union does
+            shared = np.bincount(owner[column >= 0], minlength=len(d.n))[queries]
+            opened = (fits & (shared[:, None] + rest >= least)).any(axis=1)
+            if not opened.any():
+                continue
+            common = overlaps(d, queries[opened], members, owner, column, len(union))
+            x, y = np.nonzero(fits[opened] & (common + rest[opened] >= least[opened]))
+            a, b = doc[queries[opened][x]], doc[members[y]]
+            if len(a):
+                yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     dealt = group.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
     return dealt.mapInArrow(run, "a long, b long").distinct()
@@ -204,7 +224,8 @@ def allowed(pairs: DataFrame, num: int, den: int) -> DataFrame:
             if not t.num_rows:
                 continue
             x, y, rows = Documents(t), Documents(t, "_b"), np.arange(t.num_rows)
-            common = np.array([np.isin(x.shared(k), y.shared(k)).sum() for k in rows])
+            ours, theirs = (d.owner() << 32 | d.values.astype(np.int64) for d in (x, y))
+            common = np.bincount(x.owner()[np.isin(ours, theirs)], minlength=len(rows))
             keep = common + x.rest(rows, y, rows) >= required(x.n, y.n, num, den)
             yield t.select(["a", "b"]).filter(pa.array(keep))
 
@@ -221,6 +242,15 @@ def _bits(ids: DataFrame) -> np.ndarray:
     return out
 
 
+def slices(sizes: np.ndarray, most: int = 1 << 18):
+    """Runs (begin, end) of rows whose sizes sum up to ``most``, or of one row."""
+    total, begin = np.concatenate([[0], np.cumsum(sizes)]), 0
+    while begin < len(sizes):
+        end = max(begin + 1, int(np.searchsorted(total, total[begin] + most, "right")) - 1)
+        yield begin, end
+        begin = end
+
+
 def verified(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """Those of the written pairs (a, b) whose whole token sets have the similarity.
 
@@ -241,14 +271,18 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int) -
 
     def check(batches):
         for b in batches:
-            x, xa = lists(b.column("x"))
-            y, ya = lists(b.column("y"))
-            keep = []
-            for k in range(b.num_rows):
-                p, q = x[xa[k] : xa[k + 1]], y[ya[k] : ya[k + 1]]
-                same = len(p) + len(q) - len(np.union1d(p, q))
-                keep.append(same > 0 and den * same >= num * (len(p) + len(q) - same))
-            yield pa.record_batch([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            (x, xa), (y, ya) = lists(b.column("x")), lists(b.column("y"))
+            keep = np.zeros(b.num_rows, bool)
+            for begin, end in slices(np.diff(xa) + np.diff(ya)):
+                n = np.diff(xa[begin : end + 1]) + np.diff(ya[begin : end + 1])
+                token = np.concatenate([x[xa[begin] : xa[end]], y[ya[begin] : ya[end]]])
+                of = np.concatenate([np.repeat(np.arange(end - begin), np.diff(at[begin : end + 1])) for at in (xa, ya)])
+                order = np.lexsort((token, of))
+                token, of = token[order], of[order]
+                # either set has a token once
+                same = np.bincount(of[1:][(token[1:] == token[:-1]) & (of[1:] == of[:-1])], minlength=end - begin)
+                keep[begin:end] = (same > 0) & (den * same >= num * (n - same))
+            yield pa.record_batch([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(keep))
 
     rows = docs.where("doc_id is not null").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(SIEVE)).alias("h"))
     full = written(rows.mapInArrow(sets, "doc_id long, tokens array<long>"), "sets")
@@ -265,6 +299,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     component, and links with nothing. An empty table gives an empty one; other
     columns are ignored.
     """
+    bounded(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = written(leading(docs, size, num, den), "lead")
     sets = rows.where("n > 0 and doc_id is not null")

@@ -15,20 +15,38 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the input; Python workers find this package where the driver did, unless they have it installed."""
-    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
-    if ROOT not in paths.split(os.pathsep):
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [paths, ROOT]))
+    bounded(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows that Spark hands to a Python worker at once: texts of some kilobytes make a megabyte or two.
+BATCH = 500
+#: Python workers give large blocks of memory back to the system rather than keep them for themselves.
+MEMORY = {"MALLOC_ARENA_MAX": "1", "MALLOC_MMAP_THRESHOLD_": str(1 << 25), "MALLOC_TRIM_THRESHOLD_": str(1 << 25), "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
+
+def bounded(spark: SparkSession) -> None:
+    """Keep Arrow batches small and Python workers lean; set by every operator that hands texts to workers."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH)
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "")
+    if ROOT not in paths.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [paths, ROOT]))
+    for name, value in MEMORY.items():
+        environment.setdefault(name, value)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as the session names it.
 
-    Only where ``spark.checkpoint.dir`` is unset (tests, a laptop) a temporary
-    folder of this machine takes its place, for the rest of the session.
+    Only where ``spark.checkpoint.dir`` is unset and all run on one machine (tests, a laptop) a temporary
+    folder takes its place, for the rest of the session; on a cluster that is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         found = "file://" + tempfile.mkdtemp(prefix="sigloom-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

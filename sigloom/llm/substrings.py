@@ -1,17 +1,20 @@
 """Operator 8: removal of long passages that repeat, by prefix-partitioned suffix trees.
 
-A suffix is a word position with the ``span`` words from it on; two that agree
-in all of them meet in a node at least that deep, and what such nodes cover is
-removed. Trees are cut off at depth ``span`` and hold nodes at the depths in
-LEVELS, each named by a hash of the words down to it. Suffixes are dealt to trees
-by a prefix whose length depends on the data: the shortest of the levels at which
-few enough of them share it to fit in memory. A node at full depth with more
-suffixes than that needs no tree: they repeat.
-
-Before that, suffixes that cannot repeat go: each window of ``span`` words holds an
-anchor, the least of its ANCHOR-word hashes, and equal windows hold equal
-anchors, so a window whose anchor is unique is unique. Texts of equal words are
-one class; a class with copies repeats as a whole.
+A suffix is a word position with the words from it on. Each window of ``span`` words
+holds an anchor, the least of its ANCHOR-word hashes; equal windows hold equal
+anchors at one place, so windows whose anchor stands nowhere else are unique
+and go at once. What is left is dealt to trees by prefixes of variable length: all suffixes
+that begin shortly before an anchor go to the anchor's tree, whose prefix is the
+anchor's words; an anchor that more than TREE places share is divided by
+the prefix of whole windows instead, nodes of full depth where two suffixes already repeat.
+
+A tree is built from its suffixes in the order of their words and the lengths
+of neighbours' common prefixes, both from exact ranks of runs of one, two, four and
+so on words. Its internal nodes at least ``span`` words deep give every suffix's longest
+repeat; those that one further left contains are dropped, and what stays are the
+maximal repeats, as far as the words carried around an anchor reach. Their union is removed.
+
+Texts of equal words are one class; a class with copies repeats as a whole.
 """
 
 from __future__ import annotations
@@ -21,176 +24,241 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sigloom.llm import words as w
-from sigloom.llm.grouping import lists
-from sigloom.llm.shared import dropped, written
+from sigloom.llm.grouping import lists, whole_runs
+from sigloom.llm.shared import bounded, dropped, written
 
-#: A tree takes this many suffixes, or this share (a power of two) of all if that is more.
-TREE, SHARE = 4000, 14
+#: Places that a tree takes; anchors with more are divided by longer prefixes. Rows of several trees worked on at once.
+TREE, ROWS = 4000, 4000
 
 
-def _levels(span: int) -> tuple[int, int, int]:
-    """Depths of the trees' nodes."""
-    return max(1, span // 4), max(1, 4 * span // 7), span
-
-
-def _anchor(span: int) -> int:
+def anchor_size(span: int) -> int:
     return max(1, 2 * span // 3)
 
 
 def _documents(column: pa.Array):
-    """For each block of texts: first row, texts, bytes, offsets, words' starts, first word of each, prefix sums."""
+    """For each block of texts: first row, texts, bytes, offsets, words' starts and stops, first word of each, words' hashes."""
     for i, j, data, at in w.blocks(column):
         start, stop, first = w.words(data, at)
-        yield i, j - i, data, at, start, first, w.prefix(w.word_hashes(data, start, stop)), w.prefix(w.word_hashes(data, start, stop, which=1), 1)
+        yield i, j - i, data, at, start, stop, first, w.word_hashes(data, start, stop)
+
+
+def _digest(raw: bytes) -> bytes:
+    return hashlib.sha256(b" ".join(raw.split())).digest()
+
+
+def _class(digest: bytes) -> tuple[int, int]:
+    """128 bits of the digest of a text's words, as two numbers."""
+    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:16], "little", signed=True)
+
 
+def _anchors(first: np.ndarray, hashes: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the windows' anchors, the text of each, their hashes, and the first and last window that each is the anchor of.
 
-def _anchors(first: np.ndarray, sums: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Window starts, the text of each, and the place and hash of each window's anchor."""
-    k = _anchor(span)
+    Places rise and stand once each; the first of equal hashes is a window's anchor.
+    """
+    k = anchor_size(span)
     begin, text = w.windows(first, span)
     if not len(begin):
-        return begin, text, begin, np.zeros(0, np.uint64)
-    every = np.arange(first[-1] - k + 1)
-    grams = w.spans(sums, every, every + k)
+        return begin, text, np.zeros(0, np.uint64), begin, begin
+    grams = w.grams(hashes, k)
     seen = sliding_window_view(grams, span - k + 1)
-    step = 1 << 18  # so that a text of any length costs one such copy at a time
+    step = 1 << 16  # so that a text of any length costs one such copy at a time
     place = begin + np.concatenate([seen[begin[x : x + step]].argmin(axis=1) for x in range(0, len(begin), step)])
-    return begin, text, place, grams[place]
+    new = np.ones(len(place), bool)
+    new[1:] = place[1:] != place[:-1]  # a place never falls back from window to window
+    last = np.append(np.flatnonzero(new)[1:], len(place)) - 1
+    return place[new], text[new], grams[place[new]], begin[new], begin[last]
 
 
 def profile(docs: DataFrame, span: int) -> DataFrame:
-    """Per row doc_id, class (c1, c2, n words), digest of its words, and its anchors, twice where they repeat in it."""
+    """Per row doc_id, th (hash of its text), class (c1, c2), n words, digest of its words, and its anchors."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for b in batches:
-            for i, many, data, at, _, first, one, two in _documents(b.column(1)):
-                _, text, place, anchor = _anchors(first, one, span)
-                new = np.ones(len(place), bool)
-                new[1:] = place[1:] != place[:-1]  # a place never falls back from window to window
-                text, anchor = text[new], anchor[new]
-                order = np.lexsort((anchor, text))
-                anchor, text = anchor[order], text[order]
-                third = np.zeros(len(anchor), bool)  # two of a kind in a text say enough
-                third[2:] = (anchor[2:] == anchor[:-2]) & (text[2:] == text[:-2])
-                anchor, text = anchor[~third], text[~third]
+            for i, many, data, at, _, _, first, hashes in _documents(b.column(2)):
+                _, text, anchor, _, _ = _anchors(first, hashes, span)
                 raw = data.tobytes()
-                sha = [hashlib.sha256(b" ".join(raw[x:y].split())).hexdigest() for x, y in itertools.pairwise(at.tolist())]
+                sha = [_digest(raw[x:y]) for x, y in itertools.pairwise(at.tolist())]
                 yield pa.record_batch(
-                    [b.column(0).slice(i, many), *(pa.array(w.spans(s, first[:-1], first[1:], k).view(np.int64)) for k, s in enumerate((one, two))), pa.array(np.diff(first)), pa.array(sha), pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(many + 1)), pa.int32()), pa.array(anchor.view(np.int64)))],
-                    names=["doc_id", "c1", "c2", "n", "sha", "anchors"],
+                    [b.column(0).slice(i, many), b.column(1).slice(i, many), *(pa.array(c, pa.int64()) for c in zip(*map(_class, sha))), pa.array(np.diff(first)), pa.array([s.hex() for s in sha]), pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(many + 1)), pa.int32()), pa.array(anchor.view(np.int64)))],
+                    names=["doc_id", "th", "c1", "c2", "n", "sha", "anchors"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, c1 long, c2 long, n long, sha string, anchors array<long>")
+    return docs.select("doc_id", "th", "text").mapInArrow(run, f"doc_id {kind}, th long, c1 long, c2 long, n long, sha string, anchors array<long>")
+
+
+LEAF = "anchor long, around string, lead int, w1 long, w2 long, c1 long, c2 long, at int, until int, again boolean"
+NAMES = [f.split()[0] for f in LEAF.split(", ")]
 
 
 def suffixes(texts: DataFrame, span: int) -> DataFrame:
-    """Suffixes (h1, h2, h3 by level, c1, c2, at, again) of rows c1, c2, text and the anchors in ``shared``.
+    """Rows LEAF of rows c1, c2, text and the anchors ``shared`` and, of those, ``hot``.
 
-    Of a document's equal suffixes the first stands for all, with ``again``.
+    A place of an anchor has the words that the windows it is the anchor of reach, of which ``lead`` stand before it; they
+    are the words from ``at`` to ``until`` of its document. A place of a hot anchor has instead a row for each such
+    window, with two hashes. Of a document's places with equal words around one stands for all,
+    ``again``; for the others there are only at and until.
     """
-    levels = _levels(span)
+    reach = span - anchor_size(span)
 
     def run(batches):
         for b in batches:
             c1, c2 = (b.column(k).to_numpy() for k in (0, 1))
-            wanted, wanted_at = lists(b.column(3))
-            wanted = wanted.view(np.uint64)
-            for i, many, _, _, _, first, one, two in _documents(b.column(2)):
-                begin, text, _, anchor = _anchors(first, one, span)
-                own = (w.spans(one, first[:-1], first[1:]).view(np.int64) == c1[i : i + many]) & (w.spans(two, first[:-1], first[1:], 1).view(np.int64) == c2[i : i + many])
-                keep = np.zeros(len(begin), bool)
+            (shared, shared_at), (hot, hot_at) = lists(b.column(3)), lists(b.column(4))
+            for i, many, data, at, start, stop, first, hashes in _documents(b.column(2)):
+                place, text, anchor, from_, to = _anchors(first, hashes, span)
                 cut = np.searchsorted(text, np.arange(many + 1))
+                grams = (w.grams(hashes, span), w.grams(w.mix(hashes ^ w.SEED), span))
+                raw, rows, full = data.tobytes(), [], []
                 for k in range(many):
-                    mine = wanted[wanted_at[i + k] : wanted_at[i + k + 1]]
-                    keep[cut[k] : cut[k + 1]] = own[k] & np.isin(anchor[cut[k] : cut[k + 1]], mine)
-                begin, text = begin[keep], text[keep]
-                full = w.spans(one, begin, begin + span)
-                order = np.lexsort((begin, full, text))
-                begin, text, full = begin[order], text[order], full[order]
-                new = np.ones(len(full), bool)
-                new[1:] = (full[1:] != full[:-1]) | (text[1:] != text[:-1])
-                again = np.zeros(len(full), bool)
-                again[:-1] = ~new[1:]
-                begin, text, full, again = begin[new], text[new], full[new], again[new]
-                names = [w.spans(one, begin, begin + d).view(np.int64) for d in levels[:2]]
-                yield pa.record_batch([*map(pa.array, names), pa.array(full.view(np.int64)), pa.array(c1[i + text]), pa.array(c2[i + text]), pa.array((begin - first[text]).astype(np.int32)), pa.array(again)], names=["h1", "h2", "h3", "c1", "c2", "at", "again"])
-
-    return texts.select("c1", "c2", "text", "shared").mapInArrow(run, "h1 long, h2 long, h3 long, c1 long, c2 long, at int, again boolean")
-
-
-def trees(rows: DataFrame) -> DataFrame:
-    """Those (c1, c2, at) of the written suffixes that lie under a node of full depth with two at least."""
-    most = max(TREE, rows.count() >> SHARE)
-    left = rows.withColumn("level", F.lit(1))
-    for k in (1, 2, 3):
-        keys = ["h1", "h2", "h3"][:k]
-        # at most 2**SHARE nodes can have more than that share of all suffixes
-        full = written(left.where(F.col("level") == k).groupBy(*keys).agg(F.count("*").alias("many")).where(F.col("many") > most).drop("many"), "full")
-        left = left.join(F.broadcast(full.withColumn("deeper", F.lit(True))), keys, "left").withColumn("level", F.when((F.col("level") == k) & F.col("deeper"), k + 1).otherwise(F.col("level"))).drop("deeper")
-    tree = F.when(F.col("level") == 1, F.xxhash64(F.lit(1), "h1")).when(F.col("level") == 2, F.xxhash64(F.lit(2), "h1", "h2")).otherwise(F.xxhash64(F.lit(3), "h1", "h2", "h3"))
-    certain = left.where("level > 3").select("c1", "c2", "at")
+                    if _class(_digest(raw[at[k] : at[k + 1]])) != (c1[i + k], c2[i + k]):
+                        continue
+                    names = anchor[cut[k] : cut[k + 1]].view(np.int64)
+                    here = np.isin(names, shared[shared_at[i + k] : shared_at[i + k + 1]])
+                    names, (places, x_of, y_of) = names[here], (v[cut[k] : cut[k + 1]][here] for v in (place, from_, to))
+                    many_of = np.isin(names, hot[hot_at[i + k] : hot_at[i + k + 1]])
+                    n = (y_of - x_of + 1)[many_of]
+                    full.append((np.repeat(x_of[many_of] - np.cumsum(n) + n, n) + np.arange(n.sum()), i + k, first[k]))
+                    low, seen = first[k], {}
+                    for p, name, x, y in zip(*(v[~many_of].tolist() for v in (places, names, x_of, y_of + span))):
+                        around = b" ".join(raw[start[x] : stop[y - 1]].split())
+                        other_row = seen.setdefault((name, p - x, around), len(rows))
+                        if other_row < len(rows):
+                            rows.append((i + k, None, None, None, x - low, y - low, True))
+                            rows[other_row] = (*rows[other_row][:6], True)
+                        else:
+                            rows.append((i + k, name, around.decode("utf-8", "replace"), p - x, x - low, y - low, False))
+                if rows:
+                    of, none = np.array([r[0] for r in rows]), pa.nulls(len(rows), pa.int64())
+                    column = lambda j, t: pa.array([r[j] for r in rows], t)
+                    yield pa.record_batch([column(1, pa.int64()), column(2, pa.string()), column(3, pa.int32()), none, none, pa.array(c1[of]), pa.array(c2[of]), column(4, pa.int32()), column(5, pa.int32()), column(6, pa.bool_())], names=NAMES)
+                begin = np.concatenate([f[0] for f in full]) if full else np.zeros(0, np.int64)
+                if len(begin):
+                    of, origin = (np.repeat([f[j] for f in full], [len(f[0]) for f in full]) for j in (1, 2))
+                    at_ = begin - origin
+                    yield pa.record_batch([pa.nulls(len(begin), pa.int64()), pa.nulls(len(begin), pa.string()), pa.nulls(len(begin), pa.int32()), *(pa.array(g[begin].view(np.int64)) for g in grams), pa.array(c1[of]), pa.array(c2[of]), pa.array(at_.astype(np.int32)), pa.array((at_ + span).astype(np.int32)), pa.array(np.zeros(len(begin), bool))], names=NAMES)
+
+    return texts.select("c1", "c2", "text", "shared", "hot").mapInArrow(run, LEAF)
+
+
+def ranks(words: np.ndarray, most: int) -> dict[int, np.ndarray]:
+    """For 1, 2, 4 and so on up to ``most`` the ranks of the runs of so many words from every place of every row."""
+    out, size = {1: words}, 1
+    while 2 * size <= most:
+        last = out[size]
+        after = np.zeros_like(last)
+        after[:, :-size] = last[:, size:]
+        pair = last * (int(last.max()) + 1) + after
+        out[2 * size] = np.unique(pair, return_inverse=True)[1].reshape(pair.shape) + 1
+        size *= 2
+    return out
+
+
+def repeats(tree: np.ndarray, words: np.ndarray, before: np.ndarray, length: np.ndarray, reach: int, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Maximal repeats of ``span`` words or more as (row, begin, end), in places of ``words``.
+
+    Row r belongs to ``tree[r]`` and holds exact ids from 1 on (0: no word) at the places from ``reach - before[r]`` to
+    ``reach + length[r]``; its suffixes are those that have ``span`` words or more, none of them beginning after ``reach``.
+    """
+    many, width = words.shape
+    level = ranks(words, width)
+    row, begin = np.nonzero(np.arange(reach + 1) >= (reach - before)[:, None])
+    room = reach + length[row] - begin
+    row, begin, room = row[room >= span], begin[room >= span], room[room >= span]
+    sizes = sorted(level, reverse=True)
+    # the order of the words, by the ranks of runs that follow each other and cover all
+    keys, place = [], begin.copy()
+    while (place < width).any():
+        keys.append(np.where(place < width, level[sizes[0]][row, np.minimum(place, width - 1)], 0))
+        place = place + sizes[0]
+    order = np.lexsort((*reversed(keys), tree[row]))
+    row, begin, room = row[order], begin[order], room[order]
+    if len(row) < 2:
+        return row[:0], begin[:0], begin[:0]
+    a, b = slice(None, -1), slice(1, None)
+    alike = tree[row[a]] == tree[row[b]]
+    common = np.zeros(len(row) - 1, np.int64)
+    x, y, some = begin[a].copy(), begin[b].copy(), np.flatnonzero(alike)
+    for size in [sizes[0], *sizes]:
+        fits = some[np.maximum(x[some], y[some]) + size <= width]
+        same = fits[level[size][row[a][fits], x[fits]] == level[size][row[b][fits], y[fits]]]
+        common[same] += size
+        x[same] += size
+        y[same] += size
+    common = np.minimum(common, np.minimum(room[a], room[b]))
+    # neighbours below one internal node of that depth; a suffix's deepest such node is that with a neighbour
+    depth = np.zeros(len(row), np.int64)
+    depth[a] = common
+    depth[b] = np.maximum(depth[b], common)
+    end = np.zeros((many, reach + 1), np.int64)
+    deep = depth >= span
+    end[row[deep], begin[deep]] = begin[deep] + depth[deep]
+    furthest = np.maximum.accumulate(end, axis=1)
+    end[:, 1:][end[:, 1:] <= furthest[:, :-1]] = 0  # contained in a repeat from further left
+    row, begin = np.nonzero(end)
+    return row, begin, end[row, begin]
+
+
+def trees(leaves: DataFrame, span: int) -> DataFrame:
+    """Rows (c1, c2, begin, end): the repeats among written LEAF rows with words."""
+    reach = span - anchor_size(span)
+    width = reach + span
 
     def run(batches):
-        """Suffixes come in the order of their tree's leaves; neighbours that agree at every level share a full node."""
-        held, pending = None, False
-        for b in batches:
-            if not b.num_rows:
-                continue
-            if held is not None:
-                b = pa.concat_batches([held, b])
-            names = [b.column(k).to_numpy() for k in (0, 1, 2)]
-            same = np.logical_and.reduce([x[1:] == x[:-1] for x in names])
-            deep = np.zeros(b.num_rows, bool)
-            deep[1:] |= same
-            deep[:-1] |= same
-            deep[0] |= pending
-            deep |= b.column(6).to_numpy(zero_copy_only=False)
-            last = b.num_rows - 1
-            held, pending, deep[last] = b.slice(last), bool(deep[last]), False
-            yield b.filter(pa.array(deep)).select([3, 4, 5])
-        if pending:
-            yield held.select([3, 4, 5])
-
-    dealt = left.where("level <= 3").withColumn("tree", tree).repartition("tree").sortWithinPartitions("tree", "h1", "h2", "h3").select("h1", "h2", "h3", "c1", "c2", "at", "again")
-    return certain.unionByName(dealt.mapInArrow(run, "c1 long, c2 long, at int"))
+        for t in whole_runs(batches, "anchor", ROWS):
+            listed = pc.split_pattern(t["around"].combine_chunks(), " ")
+            listed = pa.concat_arrays(listed.chunks) if isinstance(listed, pa.ChunkedArray) else listed
+            n, before = pc.list_value_length(listed).to_numpy().astype(np.int64), t["lead"].to_numpy().astype(np.int64)
+            words = np.zeros((t.num_rows, width), np.int64)
+            row = np.repeat(np.arange(t.num_rows), n)
+            words[row, np.arange(len(row)) + np.repeat(reach - before - np.cumsum(n) + n, n)] = listed.flatten().dictionary_encode().indices.to_numpy().astype(np.int64) + 1
+            row, begin, end = repeats(t["anchor"].to_numpy(), words, before, n - before, reach, span)
+            # what repeats in its own document repeats as a whole
+            own = np.flatnonzero(t["again"].to_numpy())
+            row, begin, end = np.concatenate([row, own]), np.concatenate([begin, reach - before[own]]), np.concatenate([end, (reach - before + n)[own]])
+            shift = t["at"].to_numpy()[row] - reach + before[row]
+            yield pa.record_batch([*(pa.array(t[c].to_numpy()[row]) for c in ("c1", "c2")), pa.array((shift + begin).astype(np.int32)), pa.array((shift + end).astype(np.int32))], names=["c1", "c2", "begin", "end"])
+
+    dealt = leaves.where("anchor is not null").repartition("anchor").sortWithinPartitions("anchor")
+    return dealt.select("anchor", "around", "lead", "c1", "c2", "at", "again").mapInArrow(run, "c1 long, c2 long, begin int, end int")
 
 
 def cleaned(texts: DataFrame, span: int) -> DataFrame:
-    """Rows c1, c2, text, found (suffixes that repeat) -> c1, c2, removed, sha, and kept, the text that stays."""
+    """Rows c1, c2, text, found (begin and end of repeats, in words) -> c1, c2, removed, sha, and kept, the text that stays."""
 
     def run(batches):
         for b in batches:
             c1, c2 = (b.column(k).to_numpy() for k in (0, 1))
-            found, found_at = lists(b.column(3))
+            begins, found_at = lists(b.column(3))
+            ends, _ = lists(b.column(4))
             row, removed, sha, kept = [], [], [], []
-            for i, many, data, at, start, first, one, two in _documents(b.column(2)):
-                begin, text = w.windows(first, span)
-                full = w.spans(one, begin, begin + span)
-                cut = np.searchsorted(text, np.arange(many + 1))
-                own = (w.spans(one, first[:-1], first[1:]).view(np.int64) == c1[i : i + many]) & (w.spans(two, first[:-1], first[1:], 1).view(np.int64) == c2[i : i + many])
-                for k in np.flatnonzero(own).tolist():
-                    mine = full[cut[k] : cut[k + 1]]
-                    hit = np.flatnonzero(np.isin(mine, mine[found[found_at[i + k] : found_at[i + k + 1]]]))
-                    n = first[k + 1] - first[k]
-                    step = np.bincount(hit, minlength=n + 1) - np.bincount(hit + span, minlength=n + 1)
+            for i, j, data, at in w.blocks(b.column(2)):
+                start, _, first = w.words(data, at)
+                for k in range(j - i):
+                    raw = data[at[k] : at[k + 1]]
+                    if _class(_digest(raw.tobytes())) != (c1[i + k], c2[i + k]):
+                        continue
+                    n, mine = first[k + 1] - first[k], slice(found_at[i + k], found_at[i + k + 1])
+                    step = np.bincount(np.clip(begins[mine], 0, n), minlength=n + 1) - np.bincount(np.clip(ends[mine], 0, n), minlength=n + 1)
                     stays = np.cumsum(step[:n]) == 0
                     place = np.append(start[first[k] : first[k + 1]], at[k + 1])
                     ink = np.concatenate([np.ones(place[0] - at[k], bool), np.repeat(stays, np.diff(place))])
-                    text_kept = data[at[k] : at[k + 1]][ink].tobytes()
+                    text_kept = raw[ink].tobytes()
                     row.append(i + k)
                     removed.append(int((~stays).sum()))
-                    sha.append(hashlib.sha256(b" ".join(text_kept.split())).hexdigest())
+                    sha.append(_digest(text_kept).hex())
                     kept.append(text_kept.decode("utf-8", "replace"))
             rows = pa.array(row, pa.int64())
             yield pa.record_batch([b.column(0).take(rows), b.column(1).take(rows), pa.array(removed, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.string())], names=["c1", "c2", "removed", "sha", "kept"])
 
-    return texts.select("c1", "c2", "text", "found").mapInArrow(run, "c1 long, c2 long, removed long, sha string, kept string").dropDuplicates(["c1", "c2"])
+    return texts.select("c1", "c2", "text", "begins", "ends").mapInArrow(run, "c1 long, c2 long, removed long, sha string, kept string")
 
 
 EMPTY = hashlib.sha256(b"").hexdigest()
@@ -202,34 +270,49 @@ def remove_repeats(docs: DataFrame, span: int = 50, keep_text: bool = False) ->
     With ``keep_text`` also kept: null where nothing was removed, else the text
     without the removed words and the blanks after them. kept_sha256 is of the kept words,
     joined by one space. Null and empty texts have no words; rows that repeat are
-    copies of each other; a null doc_id stays null; an empty table gives an empty
-    one; other columns are ignored.
+    copies of each other, and rows of one doc_id with different texts are documents of their own; a null doc_id stays
+    null; an empty table gives an empty one; other columns are ignored.
     """
-    docs = docs.select("doc_id", "text")
+    bounded(docs.sparkSession)
+    docs = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
     rows = written(profile(docs, span), "profile")
-    # written, so that the join below stands alone in its stage and a class with very many copies can be split
-    classes = written(rows.groupBy("c1", "c2", "n").agg(F.count("*").alias("copies"), F.min("doc_id").alias("rep")), "classes")
-    known = rows.join(classes, ["c1", "c2", "n"])
-    reps = written(known.where(F.col("doc_id").eqNullSafe(F.col("rep")) & (F.size("anchors") > 0)).select("doc_id", "c1", "c2", "copies", "anchors"), "anchors")
-    known = written(known.select("doc_id", "c1", "c2", "n", "sha", "copies"), "known")
-    dropped(rows, classes)
-
-    entries = reps.select("doc_id", "c1", "c2", "copies", F.explode("anchors").alias("anchor"))
-    shared = entries.groupBy("anchor").agg(F.count("*").alias("many")).where("many > 1").select("anchor")
-    shared = written(shared, "shared")
-    wanted = written(entries.join(shared, "anchor").groupBy("doc_id", "c1", "c2", "copies").agg(F.collect_set("anchor").alias("shared")), "wanted")
-    dropped(reps, shared)
-    wanted = wanted.withColumnRenamed("doc_id", "id")
-    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")))
-    leaves = written(suffixes(texts, span), "suffixes")
-    found = trees(leaves).groupBy("c1", "c2").agg(F.collect_list("at").alias("found"))
-    found = written(wanted.where("copies = 1").select("id", "c1", "c2").join(found, ["c1", "c2"]), "found")
-    dropped(leaves)
-    after = cleaned(docs.join(found, F.col("doc_id").eqNullSafe(F.col("id"))), span)
-
-    out = known.select("doc_id", "c1", "c2", "n", F.col("sha").alias("whole"), "copies").join(after, ["c1", "c2"], "left")
-    copied = (F.col("copies") > 1) & (F.col("n") >= span)
-    removed = F.when(copied, F.col("n")).otherwise(F.coalesce("removed", F.lit(0)))
-    sha = F.when(copied, F.lit(EMPTY)).otherwise(F.coalesce("sha", "whole"))
-    kept = [F.when(copied, F.lit("")).otherwise(F.col("kept")).alias("kept")] if keep_text else []
-    return out.select("doc_id", F.col("n").alias("n_words"), removed.alias("n_removed"), sha.alias("kept_sha256"), *kept)
+    # texts shorter than a window need no class; written, so that the join below stands alone in its stage and a class with very many copies can be split
+    long = rows.where(F.col("n") >= span)
+    classes = written(long.groupBy("c1", "c2").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "th")).alias("rep")), "classes")
+    mine = F.struct("doc_id", "th").eqNullSafe(F.col("rep"))
+    known = written(long.join(classes, ["c1", "c2"]).select("doc_id", "th", "c1", "c2", "n", "sha", "copies", F.when(mine, F.col("anchors")).alias("anchors")), "known")
+    short = rows.where(F.col("n") < span).select("doc_id", "n", "sha")
+    dropped(classes)
+
+    reps = known.where("anchors is not null")
+    reps = reps.where("copies = 1").unionByName(reps.where("copies > 1").dropDuplicates(["c1", "c2"])).select("doc_id", "th", "c1", "c2", "copies", "anchors")
+    entries = reps.select("doc_id", "th", "c1", "c2", "copies", F.explode("anchors").alias("anchor"))
+    shared = written(entries.groupBy("anchor").agg(F.count("*").alias("many")).where("many > 1").select("anchor", (F.col("many") > TREE).alias("is_hot")), "shared")
+    wanted = entries.join(shared, "anchor").groupBy("doc_id", "th", "c1", "c2", "copies").agg(F.collect_set("anchor").alias("shared"), F.collect_set(F.when(F.col("is_hot"), F.col("anchor"))).alias("hot"))
+    wanted = written(wanted.withColumnRenamed("doc_id", "id").withColumnRenamed("th", "of"), "wanted")
+    dropped(shared)
+    here = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("th") == F.col("of"))
+    leaves = written(suffixes(docs.join(wanted, here), span), "suffixes")
+
+    # windows of hot anchors: a prefix of full depth that two suffixes share is a node
+    windows = leaves.where("w1 is not null").select("w1", "w2", "c1", "c2", "at", "until")
+    nodes = written(windows.groupBy("w1", "w2").agg(F.count("*").alias("many")).where("many > 1").select("w1", "w2"), "nodes")
+    hot = windows.join(nodes, ["w1", "w2"]).select("c1", "c2", F.col("at").alias("begin"), F.col("until").alias("end"))
+    # the other places of words that repeat in their own document
+    spare = leaves.where("anchor is null and w1 is null").select("c1", "c2", F.col("at").alias("begin"), F.col("until").alias("end"))
+    once = wanted.where("copies = 1").select("id", "of", "c1", "c2")
+    found = trees(leaves, span).unionByName(hot).unionByName(spare)
+    found = found.groupBy("c1", "c2").agg(F.collect_set(F.struct("begin", "end")).alias("found"))
+    found = written(once.join(found, ["c1", "c2"]).select("id", "of", "c1", "c2", F.col("found.begin").alias("begins"), F.col("found.end").alias("ends")), "found")
+    dropped(leaves, nodes)
+    after = written(cleaned(docs.join(found, here), span), "after")
+    dropped(found, wanted)
+
+    single = known.where("copies = 1").select("doc_id", "c1", "c2", "n", F.col("sha").alias("whole")).join(after, ["c1", "c2"], "left")
+    kept = [F.col("kept")] if keep_text else []
+    out = single.select("doc_id", F.col("n").alias("n_words"), F.coalesce("removed", F.lit(0).cast("long")).alias("n_removed"), F.coalesce("sha", "whole").alias("kept_sha256"), *kept)
+    kept = [F.lit("").alias("kept")] if keep_text else []
+    copied = known.where("copies > 1").select("doc_id", F.col("n").alias("n_words"), F.col("n").alias("n_removed"), F.lit(EMPTY).alias("kept_sha256"), *kept)
+    kept = [F.lit(None).cast("string").alias("kept")] if keep_text else []
+    short = short.select("doc_id", F.col("n").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.col("sha").alias("kept_sha256"), *kept)
+    return out.unionByName(copied).unionByName(short)

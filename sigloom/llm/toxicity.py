@@ -30,11 +30,10 @@ def features(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the texts' words and of words' first bytes, and the text of each; not yet distinct."""
     start, stop, first = w.words(data, at, ~LETTERS)
     text = np.repeat(np.arange(len(at) - 1), np.diff(first))
-    sums = w.prefix(w.folded(data))
-    found, of = [w.spans(sums, start, stop)], [text]
+    found, of = [w.word_hashes(data, start, stop, fold=True)], [text]
     for n in STEMS:
         long = stop - start > n
-        found.append(w.spans(sums, start[long], start[long] + n) ^ w.U(n * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
+        found.append(w.beginnings(data, start[long], n))
         of.append(text[long])
     return np.concatenate(found), np.concatenate(of)
 

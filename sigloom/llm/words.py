@@ -1,13 +1,14 @@
 """Words of whole texts and hashes of word sequences, over the bytes of an Arrow batch.
 
-Words are the maximal runs of bytes outside ``\\x20\\x09-\\x0D``. All hashes are
-64-bit polynomials modulo 2**64 over random byte values, taken from prefix sums
-and mixed at the end; two of them with different multipliers make 128 bits where
-equality must hold for any size of input.
+Words are the maximal runs of bytes outside ``\\x20\\x09-\\x0D``. A word's hash takes in
+eight bytes at a time through a mixing step that is not linear, and a sequence's
+hash is made of those of its halves in the same way, so that no pattern of bytes
+or words cancels out. Two different words or sequences of equal length agree with a chance of 2**-64.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,12 +17,14 @@ import pyarrow as pa
 U = np.uint64
 BLANK = np.zeros(256, bool)
 BLANK[[32, *range(9, 14)]] = True
-_rng = np.random.Generator(np.random.PCG64(20240229))
-_VALUE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
-_FOLDED = _VALUE.copy()
-_FOLDED[65:91] = _VALUE[97:123]
-BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
-BLOCK = 1 << 20
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+#: Odd multipliers that set the left part of a sequence apart from the right one, and a start for every hash.
+LEFT, SEED = U(0x9E3779B97F4A7C15), U(0x632BE59BD9B4E019)
+#: The low bytes of eight that a word of so many bytes has.
+LOW = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+#: Bytes of text taken at once (a longer text is one block), words and bytes handled at once inside it, and the longest word hashed by steps of eight.
+BLOCK, WORDS, PIECE, LONG = 1 << 18, 1 << 16, 1 << 20, 64
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -33,36 +36,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(32))
 
 
-class Powers:
-    """Powers of an odd number and of its inverse modulo 2**64, as far as asked for."""
-
-    def __init__(self, base: int):
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, 2 * len(self.up), 1 << 16)
-            self.up, self.down = (np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, b, np.uint64)])) for b in (self.base, self.inverse))
-        return self.up[:n], self.down[:n]
-
-
-POWERS = tuple(Powers(b) for b in BASES)
-
-
-def prefix(values: np.ndarray, which: int = 0) -> np.ndarray:
-    up, _ = POWERS[which].get(len(values))
-    out = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up, out=out[1:])
-    return out
-
-
-def spans(sums: np.ndarray, start: np.ndarray, stop: np.ndarray, which: int = 0) -> np.ndarray:
-    """Hashes of values[start:stop], from their prefix sums."""
-    _, down = POWERS[which].get(len(sums))
-    return mix((sums[stop] - sums[start]) * down[start] + (stop - start).astype(np.uint64) * U(0x2545F4914F6CDD1D))
-
-
 def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The column's bytes and where each text begins (n + 1 offsets); null is empty."""
     column = column.cast(pa.large_string()).fill_null("")
@@ -86,28 +59,69 @@ def blocks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
 
 def words(data: np.ndarray, at: np.ndarray, blank: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and stop of every word in the bytes, and the first word of each text (n + 1)."""
-    if not len(data):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(at), np.int64)
-    ink = ~blank[data]
-    begins = ink.copy()
-    begins[1:] &= ~ink[:-1]
-    ends = ink.copy()
-    ends[:-1] &= ~ink[1:]
-    edges = at[(at > 0) & (at < len(data))]
-    begins[edges] |= ink[edges]
-    ends[edges - 1] |= ink[edges - 1]
-    start, stop = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    return start, stop, np.searchsorted(start, at)
-
-
-def folded(data: np.ndarray) -> np.ndarray:
-    """The bytes' values for hashing, A-Z as a-z."""
-    return _FOLDED[data]
-
-
-def word_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray, fold: bool = False, which: int = 0) -> np.ndarray:
+    starts, stops = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for x in range(0, len(data), PIECE):
+        # a byte more on either side shows whether a word goes on there
+        y = min(len(data), x + PIECE)
+        low, high = max(0, x - 1), min(len(data), y + 1)
+        ink = np.zeros(y - x + 2, bool)
+        ink[low - x + 1 : high - x + 1] = ~blank[data[low:high]]
+        begins, ends = ink[1:-1] & ~ink[:-2], ink[1:-1] & ~ink[2:]
+        edges = at[(at > 0) & (at < len(data))]
+        first, last = edges[(edges >= x) & (edges < y)] - x, edges[(edges > x) & (edges <= y)] - x - 1
+        begins[first] |= ink[1:-1][first]
+        ends[last] |= ink[1:-1][last]
+        starts.append(np.flatnonzero(begins) + x)
+        stops.append(np.flatnonzero(ends) + x + 1)
+    start, stop = np.concatenate(starts), np.concatenate(stops)
+    return start, stop, np.searchsorted(start, at) if len(data) else np.zeros(len(at), np.int64)
+
+
+def _eights(data: np.ndarray, fold: bool) -> np.ndarray:
+    """For every place the number that the eight bytes from it on make."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = LOWER[data] if fold else data
+    return np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray, fold: bool = False) -> np.ndarray:
     """A hash of each word; with ``fold`` A-Z count as a-z."""
-    return spans(prefix(folded(data) if fold else _VALUE[data], which), start, stop, which)
+    eights, out = _eights(data, fold), np.empty(len(start), np.uint64)
+    for x in range(0, len(start), WORDS):
+        begin, length = start[x : x + WORDS], stop[x : x + WORDS] - start[x : x + WORDS]
+        h = mix((eights[begin] & LOW[np.minimum(length, 8)]) ^ (length.astype(np.uint64) * LEFT + SEED))
+        for k in range(8, LONG, 8):
+            more = np.flatnonzero(length > k)
+            if not len(more):
+                break
+            h[more] = mix(h[more] * LEFT + (eights[begin[more] + k] & LOW[np.minimum(length[more] - k, 8)]))
+        for i in np.flatnonzero(length > LONG).tolist():
+            word = data[begin[i] : begin[i] + length[i]]
+            h[i] = int.from_bytes(hashlib.blake2b((LOWER[word] if fold else word).tobytes(), digest_size=8).digest(), "little")
+        out[x : x + WORDS] = h
+    return out
+
+
+def beginnings(data: np.ndarray, start: np.ndarray, size: int, fold: bool = True) -> np.ndarray:
+    """A hash of the first ``size`` (8 at most) bytes of words that have as many."""
+    return mix((_eights(data, fold)[start] & LOW[size]) ^ (U(size) * SEED + LEFT))
+
+
+def grams(hashes: np.ndarray, size: int) -> np.ndarray:
+    """A hash of each run of ``size`` words, made of runs of one, two, four and so on."""
+    n = len(hashes) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    out, have, level, width = None, 0, hashes, 1
+    while True:
+        if size & width:
+            part = level[have : have + n]
+            out = mix(part + SEED) if out is None else mix(out * LEFT + part)
+            have += width
+        if have == size:
+            return out
+        level = mix(level[:-width] * LEFT + level[width:])
+        width *= 2
 
 
 def windows(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -70,10 +70,11 @@ def test_stale_entries_are_skipped():
 
 def chunked(text):
     rows = (text or "").split("\n")
-    h = [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in rows]
+    h = [0, *(int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in rows)]
+    roll = [0, *((a * lines.FACTOR + b) % lines.MODULUS for a, b in zip(h, h[1:]))]
     out, begin = [], 0
     for i in range(1, len(rows) + 1):
-        if ((h[i - 2] if i > 1 else 0) * lines.FACTOR + h[i - 1]) % lines.MODULUS == 0 or i == len(rows):
+        if 2 <= i <= len(rows) - 2 and roll[i - 1] > roll[i] <= roll[i + 1] or i == len(rows):
             out.append(rows[begin:i])
             begin = i
     return out
@@ -83,6 +84,9 @@ def test_line_dedup_brute_force(spark):
     rng = random.Random(3)
     pool = [f"line {i}" for i in range(12)]
     texts = {i: "\n".join(rng.choice(pool) for _ in range(rng.randint(0, 14))) for i in range(80)}
+    long = lambda tag: "\n".join(f"{tag} {rng.random()}" for _ in range(rng.randint(3, 9)))
+    passages = [long("passage") for _ in range(20)]
+    texts |= {200 + i: "\n".join([long("own"), passages[i // 2], long("own")]) for i in range(40)}
     texts |= {100: None, 101: "", 102: "\n\n\n", 103: texts[5], 104: "long " * 20000 + "\n" + texts[5]}
     seen, want = set(), {}
     for i in sorted(texts):
@@ -99,6 +103,8 @@ def test_line_dedup_brute_force(spark):
     rows = out.collect()
     assert {r["doc_id"]: (r["n_lines"], r["n_removed"], r["kept"]) for r in rows} == want
     assert {(r["lines"], r["k"]) for r in rows} == {("y", "1")} and any(w[1] for w in want.values())
+    # of passages of 3 to 9 lines amid other text a third of the lines of the second copy go: a chunk that reaches over an edge stays
+    assert sum(want[201 + 2 * i][1] for i in range(20)) > 0.3 * sum(p.count("\n") + 1 for p in passages)
     assert not re.search("Python|Pandas|Arrow", out._jdf.queryExecution().executedPlan().toString())
     assert lines.remove_repeated_chunks(docs(spark, {1: "a"}).limit(0)).count() == 0
     twice = spark.createDataFrame([(None, "a\nb\nc\nd"), (7, "a\nb\nc\nd"), (7, "a\nb\nc\nd")], DOCS)
@@ -228,7 +234,6 @@ def test_components_of_chains_and_stars(spark):
 @pytest.mark.parametrize("tree", [1, 4000])
 def test_substring_dedup_brute_force(spark, monkeypatch, tree):
     monkeypatch.setattr(substrings, "TREE", tree)
-    monkeypatch.setattr(substrings, "SHARE", 40)
     span, rng = 12, random.Random(tree)
     word = lambda: f"W{rng.randrange(5000)}"
     passages = [[word() for _ in range(rng.randint(8, 30))] for _ in range(6)]
@@ -240,6 +245,9 @@ def test_substring_dedup_brute_force(spark, monkeypatch, tree):
             t[at:at] = rng.choice(passages)
         texts[i] = rng.choice((" ", "\n", "\t ")).join(t)
     texts |= {100: None, 101: "", 102: "same " * 400, 103: texts[7], 104: texts[8] + " end", 105: "one " * 5, 106: "é " * 20000}
+    alone = lambda n: [word() for _ in range(n)]
+    # a short phrase over and over, in less than a window: its place stands twice within reach of one window
+    texts |= {107 + i: " ".join(alone(9) + ["u", "v"] * 5 + alone(9)) for i in range(2)} | {109: " ".join(passages[0] * 30 + alone(3))}
     split = {i: (t or "").encode().split() for i, t in texts.items()}
     count = {}
     for ws in split.values():
@@ -264,6 +272,41 @@ def test_substring_dedup_brute_force(spark, monkeypatch, tree):
     assert substrings.remove_repeats(odd.limit(0), 4).count() == 0
 
 
+def thue_morse(n, swap=False):
+    return "".join("ab"[bin(i).count("1") & 1 ^ swap] for i in range(n))
+
+
+@pytest.mark.parametrize("size", [1024, 2048])
+def test_balanced_patterns_do_not_collide(spark, size):
+    one, two = thue_morse(size), thue_morse(size, True)
+    texts = {1: one, 2: two, 3: " ".join(one), 4: " ".join(two)}
+    rows = jaccard.near_duplicates(docs(spark, {1: one, 2: two})).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == {1: 1, 2: 2}
+    kept = [" ".join(f"w{k}x{i}" for k in range(6)) for i in range(4)]
+    rows = substrings.remove_repeats(docs(spark, {1: f"{kept[0]} q {one} z {kept[1]}", 2: f"{kept[2]} q {two} z {kept[3]}"}), 5).collect()
+    assert [r["n_removed"] for r in rows] == [0, 0]
+    hashes = {i: words.word_hashes(*words.texts(pa.array([t]))[:1], *words.words(*words.texts(pa.array([t])))[:2]) for i, t in texts.items()}
+    assert hashes[1] != hashes[2] and words.grams(hashes[3], size) != words.grams(hashes[4], size)
+
+
+def test_words_of_long_texts(monkeypatch):
+    text = "\n".join(" x" * (i % 7) + "y" * i for i in range(90))
+    want = words.words(*words.texts(pa.array([text, "z", text])))
+    monkeypatch.setattr(words, "PIECE", 64)
+    monkeypatch.setattr(words, "WORDS", 16)
+    got = words.words(*words.texts(pa.array([text, "z", text])))
+    assert all((x == y).all() for x, y in zip(want, got))
+
+
+def test_maximal_repeats_of_a_tree():
+    # one tree, anchor at place 2: rows 0 and 1 share places 1 to 6, rows 1 and 2 places 2 to 6
+    ids = np.array([[1, 2, 3, 4, 5, 6, 7], [8, 2, 3, 4, 5, 6, 9], [10, 11, 3, 4, 5, 6, 12], [13, 14, 15, 16, 17, 18, 19]])
+    row, begin, end = substrings.repeats(np.array([1, 1, 1, 1]), ids, np.full(4, 2), np.full(4, 5), 2, 4)
+    assert sorted(zip(row.tolist(), begin.tolist(), end.tolist())) == [(0, 1, 6), (1, 1, 6), (2, 2, 6)]
+    row, _, _ = substrings.repeats(np.array([1, 2, 3, 4]), ids, np.full(4, 2), np.full(4, 5), 2, 4)
+    assert not len(row)
+
+
 def test_word_hashes_follow_words_alone():
     rng = random.Random(9)
     texts = ["", None, " a  b ", "A b", *("".join(rng.choice("aAbé \n\t\x0b\x1c ") for _ in range(rng.randint(0, 30))) for _ in range(300))]
@@ -313,12 +356,20 @@ def test_language_model_scores_brute_force(spark):
         assert got[i]["n_tokens"] == len(ws)
         assert abs(got[i]["score"] - (np.mean(gain) if gain else 0)) < 1e-4
     assert got[1]["score"] > got[0]["score"]
+    ids = spark.createDataFrame([(i,) for i in target], "doc_id long")
+    want = {r["doc_id"]: (r["n_tokens"], r["score"]) for r in lmscore.score(docs(spark, texts), lmscore.fit(docs(spark, texts), ids, least=1)).collect()}
+    got = {r["doc_id"]: (r["n_tokens"], r["score"]) for r in lmscore.score_corpus(docs(spark, texts, clash=True).repartition(3), ids).collect()}
+    assert got.keys() == want.keys() and all(got[i][0] == want[i][0] and abs(got[i][1] - want[i][1]) < 1e-9 for i in want)
+    odd = spark.createDataFrame([(None, "a b"), (None, "a b"), *((7, f"the cat {i}") for i in range(50))], DOCS)
+    pairs = [sorted((str(r["doc_id"]), round(r["score"], 9)) for r in f.collect()) for f in (lmscore.score(odd, lmscore.fit(odd, ids, least=1)), lmscore.score_corpus(odd, ids))]
+    assert pairs[0] == pairs[1] and len(pairs[0]) == 52
     empty = docs(spark, {1: "a"}).limit(0)
+    assert lmscore.score_corpus(empty, empty.select("doc_id")).count() == 0
     assert lmscore.score(empty, lmscore.fit(empty, empty.select("doc_id"))).count() == 0
 
 
 @pytest.mark.parametrize("least", [1, 2])
-def test_language_models_keep_all_words_and_bigrams(spark, least):
+def test_language_models_keep_all_words_and_bigrams(spark, monkeypatch, least):
     # 70,000 words and 1.2 million bigrams; without copies nearly all bigrams occur once
     rng = np.random.default_rng(5)
     drawn = rng.integers(0, 70_000, (600, 2000))
@@ -328,7 +379,11 @@ def test_language_models_keep_all_words_and_bigrams(spark, least):
     every = {i + 1000 * c: t for i, t in texts.items() for c in range(copies)}
     target = [i for i in every if i % 3 == 0]
     models = lmscore.fit(docs(spark, every), spark.createDataFrame([(i,) for i in target], "doc_id long"), **({"least": 1} if least == 1 else {}))
+    monkeypatch.setattr(lmscore, "BLOCK", 1 << 21)
     got = {r["doc_id"]: r["score"] for r in lmscore.score(docs(spark, every), models).collect()}
+    if least == 1:
+        again = {r["doc_id"]: r["score"] for r in lmscore.score_corpus(docs(spark, every), spark.createDataFrame([(i,) for i in target], "doc_id long")).collect()}
+        assert all(abs(again[i] - got[i]) < 1e-9 for i in got)
     weight = np.array([[sum(j in set(target) for j in (i, i + 1000)[:copies]), copies] for i in range(600)])
     count, inner = np.zeros((70_000, 2)), np.zeros((70_000, 2))
     pair = drawn[:, :-1] * 70_000 + drawn[:, 1:]
