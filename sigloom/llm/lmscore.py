@@ -10,8 +10,8 @@ All counts are exact, come from whole texts of all documents and are all kept, i
 written table that grows with the corpus. Words and bigrams are 64-bit hashes,
 dealt into parts by their range. A block of documents asks the parts for each of its
 words and bigrams once, however often they occur, so a common one is no more work
-for its part than any other. What returns to the block are the counts that differ
-from its own with none in the target.
+for its part than any other. What returns to the block are totals, in the order
+in which it asked.
 """
 
 from __future__ import annotations
@@ -20,11 +20,12 @@ import dataclasses
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sigloom.llm import words as w
-from sigloom.llm.shared import dropped, released, written
+from sigloom.llm.shared import bounded, dropped, released, written
 
 #: Classes of words that are not in the corpus; each has no counts and is smoothed like a word.
 LENGTHS = 16
@@ -87,7 +88,7 @@ def _entries(kind: int, keys: np.ndarray, counts: np.ndarray, parts: int, left:
 
 
 def _arrow(rows, names=("kind", "part", "keys", "counts", "left")) -> pa.Table:
-    kinds = {"kind": pa.int32(), "part": pa.int32(), "block": pa.int64()}
+    kinds = {"kind": pa.int32(), "part": pa.int32()} | dict.fromkeys(("block", "n", "target", "background"), pa.int64())
     rows = list(rows)
     return pa.table({c: pa.array([r[k] for r in rows], kinds.get(c, pa.binary())) for k, c in enumerate(names)})
 
@@ -96,8 +97,7 @@ def _tokens(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     """Hash of every word (A-Z as a-z) and of it with the word before, its text, and the first word of each text."""
     start, stop, first = w.words(data, at)
     hashes = w.word_hashes(data, start, stop, fold=True)
-    pairs = w.mix(hashes[:-1] * w.U(w.BASES[1]) + hashes[1:])
-    return hashes, pairs, np.repeat(np.arange(len(at) - 1), np.diff(first)), first
+    return hashes, w.grams(hashes, 2), np.repeat(np.arange(len(at) - 1), np.diff(first)), first
 
 
 def _inner(first: np.ndarray) -> np.ndarray:
@@ -158,6 +158,18 @@ def _found(keys: np.ndarray, known: np.ndarray, counts: np.ndarray) -> np.ndarra
     return counts[place] * (known[place] == keys)[:, None]
 
 
+def _held(held: dict, data: np.ndarray, at: np.ndarray, wanted: np.ndarray, lefts: bool = False) -> int:
+    """Add the keys of texts and what each counts for, with left words of bigrams or none; gives the number of tokens."""
+    hashes, pairs, text, first = _tokens(data, at)
+    hit = wanted[text]
+    inner = _inner(first)
+    ones = np.ones(len(hashes), bool)
+    held[WORD].append((hashes, np.column_stack([hit, ones, hit & inner, inner]), hashes[:0]))
+    same = inner[:-1]
+    held[PAIR].append((pairs[same], np.column_stack([hit, ones])[:-1][same], hashes[:-1][same] if lefts else hashes[:0]))
+    return len(hashes)
+
+
 def _counted(rows: DataFrame, parts: int, lefts: bool) -> DataFrame:
     """Rows (COUNTS) over (text, is_target), summed in the worker first; with ``lefts`` bigrams keep their left words."""
 
@@ -178,14 +190,7 @@ def _counted(rows: DataFrame, parts: int, lefts: bool) -> DataFrame:
         for b in batches:
             wanted = b.column(1).to_numpy(zero_copy_only=False)
             for i, j, data, at in w.blocks(b.column(0)):
-                hashes, pairs, text, first = _tokens(data, at)
-                hit = wanted[i:j][text]
-                inner = _inner(first)
-                ones = np.ones(len(hashes), bool)
-                held[WORD].append((hashes, np.column_stack([hit, ones, hit & inner, inner]), hashes[:0]))
-                same = inner[:-1]
-                held[PAIR].append((pairs[same], np.column_stack([hit, ones])[:-1][same], hashes[:-1][same] if lefts else hashes[:0]))
-                size += len(hashes)
+                size += _held(held, data, at, wanted[i:j], lefts)
                 if size > FLUSH:
                     yield from flush()
                     size = 0
@@ -227,8 +232,8 @@ def fit(docs: DataFrame, target: DataFrame, least: int = 2) -> Models:
     Bigrams that occur ``least`` times or more in the corpus are listed, all others back off. Unigrams are
     smoothed by one half of a count.
     """
-    # a merge join at every size: the set of targets grows with the corpus
-    rows = docs.join(target.select("doc_id").distinct().withColumn("is_target", F.lit(True)).hint("merge"), "doc_id", "left").select("text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
+    bounded(docs.sparkSession)
+    rows = docs.join(target.select("doc_id").distinct().withColumn("is_target", F.lit(True)), "doc_id", "left").select("text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
     parts = 1 + (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PART
     counted = _counted(rows, parts, least > 1)
     if least > 1:
@@ -253,6 +258,86 @@ def fit(docs: DataFrame, target: DataFrame, least: int = 2) -> Models:
     return Models(table, parts, np.array(tokens) + 0.5 * (n + LENGTHS))
 
 
+def _scored(models: Models):
+    """Scores of a block's texts, from answers (kind, part, counts): the totals of the block's keys in a part, where they differ from its own counts."""
+    maths = Models(None, models.parts, models.total, models.mixed)
+
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        if not len(texts):
+            return pa.table({"doc_id": texts["doc_id"], "n_tokens": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+        tokens, own = _own(texts["text"])
+        places = {k: {part: slice(i, j) for part, i, j in _ranges(keys, maths.parts)} for k, (keys, _) in own.items()}
+        for k, part, counts in zip(*(answers[c].to_pylist() for c in ("kind", "part", "counts"))):
+            mine = places[k][part]
+            own[k][1][mine] = _unpacked(counts, mine.stop - mine.start, COLUMNS[k])
+        gain, n = (np.concatenate(x) for x in zip(*(maths.gains(t, own[WORD], own[PAIR]) for t in tokens)))
+        return pa.table({"doc_id": texts["doc_id"], "n_tokens": pa.array(n.astype(np.int64)), "score": pa.array(gain / np.maximum(n, 1))})
+
+    return run
+
+
+def _sizes(docs: DataFrame) -> tuple[int, int]:
+    """Rows, and bytes of text."""
+    rows, size = docs.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    return rows, size or 0
+
+
+def score_corpus(docs: DataFrame, target: DataFrame) -> DataFrame:
+    """What ``score(docs, fit(docs, target, least=1))`` gives, with texts and counts moved once less.
+
+    Texts are dealt into blocks by doc_id, and the ids of targets with them, so that no join has to flag them
+    first; ids with very many texts, or none, are dealt by text as well. A block sends its own counts to the parts, which sum them
+    and send back those totals that differ. All words and bigrams count, from one occurrence on. Rows that
+    :func:`score` speaks of get the same here.
+    """
+    bounded(docs.sparkSession)
+    rows, size = _sizes(docs)
+    parts, blocks = 1 + size // PART, 1 + size // BLOCK
+    most = docs.where("doc_id is not null").groupBy("doc_id").count().agg(F.max("count")).first()[0] or 0
+    salts = 1 + most * blocks // max(1, rows)
+    salt = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.pmod(F.xxhash64("text"), F.lit(salts)))
+    texts = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", salt), F.lit(blocks)).alias("block"))
+    ids = target.where("doc_id is not null").select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id")).distinct()
+    ids = ids.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    ids = ids.select("doc_id", F.pmod(F.xxhash64("doc_id", "salt"), F.lit(blocks)).alias("block"))
+
+    def counted(texts: pa.Table, ids: pa.Table) -> pa.Table:
+        out, names = [], ("block", "kind", "part", "keys", "counts")
+        if len(texts):
+            block, held = texts["block"][0].as_py(), {WORD: [], PAIR: []}
+            wanted = pc.is_in(texts["doc_id"], ids["doc_id"].combine_chunks()).to_numpy()
+            for i, j, data, at in w.blocks(pa.concat_arrays(texts["text"].cast(pa.large_string()).chunks)):
+                _held(held, data, at, wanted[i:j])
+            for kind, some in held.items():
+                keys, many, _ = _summed(*(np.concatenate(x) for x in list(zip(*some))[:2]))
+                out += [(block, kind, part, _coded(keys[i:j]), _packed(many[i:j])) for part, i, j in _ranges(keys, parts)] if len(keys) else []
+        return _arrow(out, names)
+
+    def summed(asked: pa.Table) -> pa.Table:
+        kind, part = asked["kind"][0].as_py(), asked["part"][0].as_py()
+        keys = [_decoded(x) for x in asked["keys"].to_pylist()]
+        own = [_unpacked(c, len(k), COLUMNS[kind]) for k, c in zip(keys, asked["counts"].to_pylist())]
+        found, many, _ = _summed(np.concatenate(keys), np.concatenate(own))
+        out = [(None, kind, None, None, len(found), *many[:, :2].sum(axis=0).tolist())]
+        for block, k, c in zip(asked["block"].to_pylist(), keys, own):
+            total = many[np.searchsorted(found, k)]
+            # the block itself takes its own counts for all, and none of them for the target's
+            new = (total[:, ::2] > 0).any(axis=1) | (total[:, 1::2] != c[:, 1::2]).any(axis=1)
+            if new.any():
+                out.append((block, kind, part, _packed(total), None, None, None))
+        return _arrow(out, ("block", "kind", "part", "counts", "n", "target", "background"))
+
+    asked = texts.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(counted, "block long, kind int, part int, keys binary, counts binary")
+    answers = written(asked.groupBy("part", "kind").applyInArrow(summed, "block long, kind int, part int, counts binary, n long, target long, background long"), "answers")
+    sums = answers.where(F.col("block").isNull() & (F.col("kind") == WORD)).agg(F.sum("n"), F.sum("target"), F.sum("background")).first()
+    n, *tokens = (x or 0 for x in sums)
+    models = Models(None, parts, np.array(tokens) + 0.5 * (n + LENGTHS))
+    released(docs.sparkSession)  # the shuffles of counting outlive the write by one job
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    back = answers.where(F.col("block").isNotNull()).select("block", "kind", "part", "counts")
+    return texts.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_scored(models), f"doc_id {kind}, n_tokens long, score double")
+
+
 def score(docs: DataFrame, models: Models) -> DataFrame:
     """doc_id, n_tokens and score, the mean difference of losses per token.
 
@@ -262,7 +347,6 @@ def score(docs: DataFrame, models: Models) -> DataFrame:
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     parts = models.parts
-    maths = Models(None, parts, models.total, models.mixed)
 
     def asked(texts: pa.Table) -> pa.Table:
         block, (_, own) = texts["block"][0].as_py(), _own(texts["text"])
@@ -272,7 +356,7 @@ def score(docs: DataFrame, models: Models) -> DataFrame:
     def answered(questions: pa.Table, known: pa.Table) -> pa.Table:
         out = []
         if len(questions):
-            k = questions["kind"][0].as_py()
+            k, part = questions["kind"][0].as_py(), questions["part"][0].as_py()
             listed = [_decoded(x) for x in known["keys"].to_pylist()]
             counts = np.concatenate([np.zeros((0, COLUMNS[k]), np.int64), *(_unpacked(c, len(x), COLUMNS[k]) for x, c in zip(listed, known["counts"].to_pylist()))])
             listed = np.concatenate([np.zeros(0, np.uint64), *listed])
@@ -283,16 +367,8 @@ def score(docs: DataFrame, models: Models) -> DataFrame:
                 many = _found(wanted, listed, counts)
                 new = (many[:, ::2] > 0).any(axis=1) | (many[:, 1::2] != _unpacked(own, len(wanted), COLUMNS[k] // 2)).any(axis=1)
                 if new.any():
-                    out.append((block, k, _coded(wanted[new]), _packed(many[new])))
-        return _arrow(out, ("block", "kind", "keys", "counts"))
-
-    def scored(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        tokens, own = _own(texts["text"])
-        for k, keys, counts in zip(*(answers[c].to_pylist() for c in ("kind", "keys", "counts"))):
-            keys = _decoded(keys)
-            own[k][1][np.searchsorted(own[k][0], keys)] = _unpacked(counts, len(keys), COLUMNS[k])
-        gain, n = (np.concatenate(x) for x in zip(*(maths.gains(t, own[WORD], own[PAIR]) for t in tokens)))
-        return pa.table({"doc_id": texts["doc_id"], "n_tokens": pa.array(n.astype(np.int64)), "score": pa.array(gain / np.maximum(n, 1))})
+                    out.append((block, k, part, _packed(many)))
+        return _arrow(out, ("block", "kind", "part", "counts"))
 
     # blocks follow from the rows themselves, so that they are the same whenever they are made
     blocks = 1 + (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BLOCK
@@ -300,5 +376,5 @@ def score(docs: DataFrame, models: Models) -> DataFrame:
     texts = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"))
     questions = texts.groupBy("block").applyInArrow(asked, "block long, kind int, part int, keys binary, counts binary")
     known = models.table.select("kind", "part", "keys", "counts")
-    answers = questions.groupBy("part", "kind").cogroup(known.groupBy("part", "kind")).applyInArrow(answered, "block long, kind int, keys binary, counts binary")
-    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(scored, f"doc_id {kind}, n_tokens long, score double")
+    answers = questions.groupBy("part", "kind").cogroup(known.groupBy("part", "kind")).applyInArrow(answered, "block long, kind int, part int, counts binary")
+    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scored(models), f"doc_id {kind}, n_tokens long, score double")

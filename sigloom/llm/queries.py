@@ -60,7 +60,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The target are documents labelled as of good quality, the background is the corpus."""
     docs = table(spark, sf_dir, "documents")
     target = table(spark, sf_dir, "labels").where("quality = 1")
-    return lmscore.score(docs, lmscore.fit(docs, target, least=1))
+    return lmscore.score_corpus(docs, target)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
