@@ -34,7 +34,7 @@ from sigloom.llm.grouping import lists, whole_runs
 from sigloom.llm.shared import bounded, dropped, written
 
 #: Places that a tree takes; anchors with more are divided by longer prefixes. Rows of several trees worked on at once.
-TREE, ROWS = 4000, 4000
+TREE, ROWS = 1000, 4000
 
 
 def anchor_size(span: int) -> int:
@@ -94,17 +94,24 @@ def profile(docs: DataFrame, span: int) -> DataFrame:
     return docs.select("doc_id", "th", "text").mapInArrow(run, f"doc_id {kind}, th long, c1 long, c2 long, n long, sha string, anchors array<long>")
 
 
-LEAF = "anchor long, around string, lead int, w1 long, w2 long, c1 long, c2 long, at int, until int, again boolean"
-NAMES = [f.split()[0] for f in LEAF.split(", ")]
+LEAF = "anchor long, around string, lead int, c1 long, c2 long, at int, until int, again boolean, hot long, ws array<struct<w1:long,w2:long>>, w1 long, w2 long, n long"
+WINDOW = pa.struct([("w1", pa.int64()), ("w2", pa.int64())])
+KINDS = {"anchor": pa.int64(), "around": pa.string(), "lead": pa.int32(), "c1": pa.int64(), "c2": pa.int64(), "at": pa.int32(), "until": pa.int32(), "again": pa.bool_(), "hot": pa.int64(), "ws": pa.list_(WINDOW), "w1": pa.int64(), "w2": pa.int64(), "n": pa.int64()}
+
+
+def _leaves(many: int, **columns) -> pa.RecordBatch:
+    """Rows LEAF of so many rows with these columns, the others null."""
+    arrays = [columns[c] if isinstance(columns.get(c), pa.Array) else pa.array(columns[c], t) if c in columns else pa.nulls(many, t) for c, t in KINDS.items()]
+    return pa.record_batch(arrays, names=list(KINDS))
 
 
 def suffixes(texts: DataFrame, span: int) -> DataFrame:
     """Rows LEAF of rows c1, c2, text and the anchors ``shared`` and, of those, ``hot``.
 
     A place of an anchor has the words that the windows it is the anchor of reach, of which ``lead`` stand before it; they
-    are the words from ``at`` to ``until`` of its document. A place of a hot anchor has instead a row for each such
-    window, with two hashes. Of a document's places with equal words around one stands for all,
-    ``again``; for the others there are only at and until.
+    are the words from ``at`` to ``until`` of its document. Of a document's places with equal words around one stands for all,
+    ``again``; for the others there are only at and until. A place of a hot anchor has instead of words two hashes for each of its windows,
+    the first of which begins at ``at``; besides there are rows that count such windows, some texts at once.
     """
     reach = span - anchor_size(span)
 
@@ -124,8 +131,7 @@ def suffixes(texts: DataFrame, span: int) -> DataFrame:
                     here = np.isin(names, shared[shared_at[i + k] : shared_at[i + k + 1]])
                     names, (places, x_of, y_of) = names[here], (v[cut[k] : cut[k + 1]][here] for v in (place, from_, to))
                     many_of = np.isin(names, hot[hot_at[i + k] : hot_at[i + k + 1]])
-                    n = (y_of - x_of + 1)[many_of]
-                    full.append((np.repeat(x_of[many_of] - np.cumsum(n) + n, n) + np.arange(n.sum()), i + k, first[k]))
+                    full.append((names[many_of], x_of[many_of], y_of[many_of] + 1, np.full(many_of.sum(), i + k), np.full(many_of.sum(), first[k])))
                     low, seen = first[k], {}
                     for p, name, x, y in zip(*(v[~many_of].tolist() for v in (places, names, x_of, y_of + span))):
                         around = b" ".join(raw[start[x] : stop[y - 1]].split())
@@ -136,14 +142,21 @@ def suffixes(texts: DataFrame, span: int) -> DataFrame:
                         else:
                             rows.append((i + k, name, around.decode("utf-8", "replace"), p - x, x - low, y - low, False))
                 if rows:
-                    of, none = np.array([r[0] for r in rows]), pa.nulls(len(rows), pa.int64())
-                    column = lambda j, t: pa.array([r[j] for r in rows], t)
-                    yield pa.record_batch([column(1, pa.int64()), column(2, pa.string()), column(3, pa.int32()), none, none, pa.array(c1[of]), pa.array(c2[of]), column(4, pa.int32()), column(5, pa.int32()), column(6, pa.bool_())], names=NAMES)
-                begin = np.concatenate([f[0] for f in full]) if full else np.zeros(0, np.int64)
-                if len(begin):
-                    of, origin = (np.repeat([f[j] for f in full], [len(f[0]) for f in full]) for j in (1, 2))
-                    at_ = begin - origin
-                    yield pa.record_batch([pa.nulls(len(begin), pa.int64()), pa.nulls(len(begin), pa.string()), pa.nulls(len(begin), pa.int32()), *(pa.array(g[begin].view(np.int64)) for g in grams), pa.array(c1[of]), pa.array(c2[of]), pa.array(at_.astype(np.int32)), pa.array((at_ + span).astype(np.int32)), pa.array(np.zeros(len(begin), bool))], names=NAMES)
+                    of, anchors, arounds, leads, begins, ends, agains = zip(*rows)
+                    of = np.array(of)
+                    yield _leaves(len(rows), anchor=anchors, around=arounds, lead=leads, c1=c1[of], c2=c2[of], at=begins, until=ends, again=agains)
+                if full and any(len(f[0]) for f in full):
+                    names, x, y, of, low = (np.concatenate(v) for v in zip(*full))
+                    n = y - x
+                    every = np.repeat(x - np.cumsum(n) + n, n) + np.arange(n.sum())
+                    one, two = (g[every].view(np.int64) for g in grams)
+                    listed = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)), pa.int32()), pa.StructArray.from_arrays([pa.array(one), pa.array(two)], fields=list(WINDOW)))
+                    yield _leaves(len(names), hot=names, ws=listed, c1=c1[of], c2=c2[of], at=x - low)
+                    owner = np.repeat(names, n)
+                    order = np.lexsort((two, one, owner))
+                    owner, one, two = owner[order], one[order], two[order]
+                    new = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])))
+                    yield _leaves(len(new), hot=owner[new], w1=one[new], w2=two[new], n=np.diff(np.append(new, len(owner))))
 
     return texts.select("c1", "c2", "text", "shared", "hot").mapInArrow(run, LEAF)
 
@@ -294,17 +307,22 @@ def remove_repeats(docs: DataFrame, span: int = 50, keep_text: bool = False) ->
     here = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("th") == F.col("of"))
     leaves = written(suffixes(docs.join(wanted, here), span), "suffixes")
 
-    # windows of hot anchors: a prefix of full depth that two suffixes share is a node
-    windows = leaves.where("w1 is not null").select("w1", "w2", "c1", "c2", "at", "until")
-    nodes = written(windows.groupBy("w1", "w2").agg(F.count("*").alias("many")).where("many > 1").select("w1", "w2"), "nodes")
-    hot = windows.join(nodes, ["w1", "w2"]).select("c1", "c2", F.col("at").alias("begin"), F.col("until").alias("end"))
+    # windows of hot anchors: a prefix of full depth that two suffixes share is a node; an anchor's nodes come in lists of bounded size
+    nodes = written(leaves.where("w1 is not null").groupBy("hot", "w1", "w2").agg(F.sum("n").alias("many")).where("many > 1").select("hot", "w1", "w2"), "nodes")
+    chunks = nodes.groupBy("hot").agg(F.ceil(F.count("*") / TREE).alias("chunks"))
+    listed = nodes.join(chunks, "hot").groupBy("hot", F.pmod(F.xxhash64("w1", "w2"), F.col("chunks")).alias("chunk")).agg(F.collect_list(F.struct("w1", "w2")).alias("nodes"))
+    listed = written(listed.select("hot", "nodes"), "listed")
+    hits = F.filter(F.sequence(F.lit(0), F.size("ws") - 1), lambda i: F.array_contains("nodes", F.get("ws", i)))
+    hot = leaves.where("ws is not null").join(listed, "hot").select("c1", "c2", "at", hits.alias("hits")).where(F.size("hits") > 0)
+    # windows of one place overlap, so between the first and the last nothing stays
+    hot = written(hot.select("c1", "c2", (F.col("at") + F.get("hits", F.lit(0))).alias("begin"), (F.col("at") + F.element_at("hits", -1) + span).alias("end")), "hot")
     # the other places of words that repeat in their own document
-    spare = leaves.where("anchor is null and w1 is null").select("c1", "c2", F.col("at").alias("begin"), F.col("until").alias("end"))
+    spare = leaves.where("anchor is null and hot is null").select("c1", "c2", F.col("at").alias("begin"), F.col("until").alias("end"))
     once = wanted.where("copies = 1").select("id", "of", "c1", "c2")
     found = trees(leaves, span).unionByName(hot).unionByName(spare)
     found = found.groupBy("c1", "c2").agg(F.collect_set(F.struct("begin", "end")).alias("found"))
     found = written(once.join(found, ["c1", "c2"]).select("id", "of", "c1", "c2", F.col("found.begin").alias("begins"), F.col("found.end").alias("ends")), "found")
-    dropped(leaves, nodes)
+    dropped(leaves, nodes, listed, hot)
     after = written(cleaned(docs.join(found, here), span), "after")
     dropped(found, wanted)
 
