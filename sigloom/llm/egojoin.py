@@ -31,7 +31,7 @@ BLOCK, LEAF, AXES, SAMPLE = 4096, 512, 8, 20_000
 
 def axes(rows: DataFrame) -> np.ndarray:
     """Principal axes of about SAMPLE vectors; any rotation gives right results, a good one skips more."""
-    some = thinned(rows.select(F.col("vec_id").alias("doc_id"), "v"), SAMPLE).select("v").toArrow()
+    some = thinned(rows.select("v"), SAMPLE).toArrow()
     if not some.num_rows:
         return np.eye(1)
     x = matrix(some["v"])

@@ -12,15 +12,16 @@ def held_out() -> Column:
 
 
 def thinned(rows: DataFrame, most: int, salt: int = 0) -> DataFrame:
-    """About ``most`` of the rows (all, if there are fewer), chosen by a hash of doc_id.
+    """About ``most`` of the rows (all, if there are fewer), chosen by a hash of all columns.
 
-    Nothing is sorted or moved: the share is worked out from a count.
+    Nothing is sorted or moved: the share is worked out from a count. Rows that repeat are chosen or left
+    together, so whoever collects them sets a limit.
     """
     n = rows.count()
     if n <= most:
         return rows
     steps = 1 << 40
-    return rows.where(F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(steps)) < F.lit(int(steps * most / n)))
+    return rows.where(F.pmod(F.xxhash64(*rows.columns, F.lit(salt)), F.lit(steps)) < F.lit(int(steps * most / n)))
 
 
 def learning(labels: DataFrame, column: str) -> DataFrame:

@@ -102,8 +102,42 @@ class Network:
         x = np.tanh(self.pooled(data, at) @ p["into"] + p["inner"]) @ p["out"] + p["last"]
         return 1 / (1 + np.exp(-np.clip(x.astype(np.float64), -30, 30)))
 
+    def slopes(self, texts: list[bytes], label: np.ndarray) -> dict[str, np.ndarray]:
+        """Slopes of the mean log loss by every parameter, through the places of the maxima."""
+        p = self.p
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        at = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        b, halves = padded(data, at)
+        h, where = self.responses(b, places=True)
+        h = np.column_stack([h, recurrence(b)])
+        c, half, first = self.chunks(h, halves)
+        count = np.maximum(halves - 1, 1)
+        mean, top = np.add.reduceat(c, first, axis=0) / count[:, None], np.maximum.reduceat(c, first, axis=0)
+        x = np.column_stack([mean, top]).astype(np.float32)
+        a = np.tanh(x @ p["into"] + p["inner"])
+        y = 1 / (1 + np.exp(-np.clip(a @ p["out"] + p["last"], -30, 30)))
+        d = (y - label).astype(np.float32) / len(texts)
+        g = {"out": a.T @ d, "last": d.sum(keepdims=True)}
+        da = d[:, None] * p["out"] * (1 - a * a)
+        g["into"], g["inner"] = x.T @ da, da.sum(axis=0)
+        dx = da @ p["into"].T
+        of = np.repeat(np.arange(len(texts)), count)
+        dc = (dx[:, : FILTERS + 1] / count[:, None])[of]
+        is_top = c == top[of]
+        ties = np.add.reduceat(is_top.astype(np.int64), first, axis=0)
+        dc = dc + is_top * (dx[:, FILTERS + 1 :] / np.maximum(ties, 1))[of]
+        dc, half, c = dc[:, :FILTERS], half[:, :FILTERS], c[:, :FILTERS]
+        dc = np.where(c > 0, dc, 0)
+        place = np.take_along_axis(where, half, axis=0)
+        g["bias"] = dc.sum(axis=0)
+        g["table"] = np.zeros_like(p["table"])
+        column = np.broadcast_to(np.arange(FILTERS), place.shape)
+        for k in range(WIDTH):
+            np.add.at(g["table"][k], (b[place + k], column), dc)
+        return g
+
     def fit(self, texts: list[bytes], label: np.ndarray, epochs: int = 14, batch: int = 64, rate: float = 0.01, seed: int = 1) -> Network:
-        """Minimise the log loss by Adam, through the places of the maxima."""
+        """Minimise the log loss by Adam."""
         rng = np.random.default_rng(seed)
         p = self.p
         moment = {k: np.zeros_like(v) for k, v in p.items()}
@@ -113,35 +147,7 @@ class Network:
             order = rng.permutation(len(texts))
             for i in range(0, len(order), batch):
                 some = order[i : i + batch]
-                data = np.frombuffer(b"".join(texts[k] for k in some), np.uint8)
-                at = np.concatenate([[0], np.cumsum([len(texts[k]) for k in some])])
-                b, halves = padded(data, at)
-                h, where = self.responses(b, places=True)
-                h = np.column_stack([h, recurrence(b)])
-                c, half, first = self.chunks(h, halves)
-                count = np.maximum(halves - 1, 1)
-                mean, top = np.add.reduceat(c, first, axis=0) / count[:, None], np.maximum.reduceat(c, first, axis=0)
-                x = np.column_stack([mean, top]).astype(np.float32)
-                a = np.tanh(x @ p["into"] + p["inner"])
-                y = 1 / (1 + np.exp(-np.clip(a @ p["out"] + p["last"], -30, 30)))
-                d = (y - label[some]).astype(np.float32) / len(some)
-                g = {"out": a.T @ d, "last": d.sum(keepdims=True)}
-                da = d[:, None] * p["out"] * (1 - a * a)
-                g["into"], g["inner"] = x.T @ da, da.sum(axis=0)
-                dx = da @ p["into"].T
-                of = np.repeat(np.arange(len(some)), count)
-                dc = (dx[:, : FILTERS + 1] / count[:, None])[of]
-                is_top = c == top[of]
-                ties = np.add.reduceat(is_top, first, axis=0)
-                dc = dc + is_top * (dx[:, FILTERS + 1 :] / np.maximum(ties, 1))[of]
-                dc, half, c = dc[:, :FILTERS], half[:, :FILTERS], c[:, :FILTERS]
-                dc = np.where(c > 0, dc, 0)
-                place = np.take_along_axis(where, half, axis=0)
-                g["bias"] = dc.sum(axis=0)
-                g["table"] = np.zeros_like(p["table"])
-                column = np.broadcast_to(np.arange(FILTERS), place.shape)
-                for k in range(WIDTH):
-                    np.add.at(g["table"][k], (b[place + k], column), dc)
+                g = self.slopes([texts[k] for k in some], label[some])
                 t += 1
                 pace = rate * (0.5 * (1 + np.cos(np.pi * (epoch + i / len(order)) / epochs)) + 0.02)
                 for k, v in g.items():
@@ -153,12 +159,16 @@ class Network:
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = 3000) -> Network:
-    """Fit on about ``most`` whole labelled texts at most, none of them held out; half of each label where there are enough."""
+    """Fit on about ``most`` whole labelled texts, twice as many at most, none of them held out; half of each label where there are enough.
+
+    Labels of null doc_ids and null labels do not count, of several labels of one doc_id the largest does; rows that repeat
+    are learnt from each, null texts as empty ones. With texts of one label or none at all the score is the same for all. Other columns are ignored.
+    """
     known = learning(labels, "quality")
     # about ``most`` ids: small enough to broadcast
     chosen = thinned(known.where("label = 0"), most // 2).unionByName(thinned(known.where("label = 1"), most - most // 2))
 
-    rows = docs.join(F.broadcast(chosen), "doc_id").select(F.coalesce("text", F.lit("")).cast("binary").alias("text"), "label").toArrow()
+    rows = docs.join(F.broadcast(chosen), "doc_id").select(F.coalesce("text", F.lit("")).cast("binary").alias("text"), "label").limit(2 * most).toArrow()
     texts, label = rows["text"].to_pylist(), rows["label"].to_numpy().astype(np.float32)
     order = sorted(range(len(texts)), key=lambda i: (texts[i], label[i]))  # the same model whatever the order of rows
     network = Network()
@@ -173,9 +183,10 @@ def score(docs: DataFrame, network: Network, threshold: float = 0.3) -> DataFram
     """``docs`` with score (0 to 1) and predicted (1 where score >= threshold). Narrow: nothing is shuffled.
 
     A null text is an empty one, which is all padding and has a score as well;
-    repeated rows score alike; any other columns pass through. An empty table
-    gives an empty one.
+    repeated rows score alike; any other columns pass through, but for score and
+    predicted, which are replaced. An empty table gives an empty one.
     """
+    docs = docs.drop("score", "predicted")
     shared = docs.sparkSession.sparkContext.broadcast(network)
     names = docs.columns
     text = names.index("text")

@@ -67,6 +67,12 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def risk(on_unlabelled: np.ndarray, on_positive: np.ndarray, prior: float) -> float:
+    """The negative class's risk as unlabelled texts show it, less what toxic ones among them add to it."""
+    soft = lambda s: -np.log(np.maximum(1 - s, 1e-12)).mean()
+    return soft(on_unlabelled) - prior * soft(on_positive)
+
+
 #: Least evidence (count times log of lift) for a feature; chance reaches it about once in a million features.
 EVIDENCE = 15.0
 
@@ -99,9 +105,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     for step in range(1, steps + 1):
         g_p = sigmoid(bias + np.bincount(p_of, weight[p_at], len(positive)))
         g_u = sigmoid(bias + np.bincount(u_of, weight[u_at], len(unlabelled)))
-        soft = lambda s: -np.log(np.maximum(s, 1e-12)).mean()
-        negative = soft(1 - g_u) - prior * soft(1 - g_p)
-        if negative >= 0:
+        if risk(g_u, g_p, prior) >= 0:
             d_p, d_u = prior * (g_p - 1) - prior * g_p, g_u
         else:  # climb back: only the corrected negative risk is changed, upwards
             d_p, d_u = prior * g_p, -g_u
@@ -116,9 +120,11 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
 
 
 def train(docs: DataFrame, labels: DataFrame, positives: int = 2000, unlabelled: int = 5000, prior: float | None = None) -> Linear:
-    """Fit on about so many confirmed toxic texts and texts of any kind at most, none of them held out.
+    """Fit on about so many confirmed toxic texts and texts of any kind, twice as many at most, none of them held out.
 
-    ``prior`` is the share of toxic texts; if not given, that among labelled ones.
+    ``prior`` is the share of toxic texts; if not given, that among labelled ones. Labels of null doc_ids and null labels do
+    not count, of several labels of one doc_id the largest does; rows that repeat are learnt from each, null texts as empty ones.
+    Without toxic or unlabelled texts the score is the same for all. Other columns are ignored.
     """
     known = learning(labels, "toxic").cache()
     if prior is None:
@@ -135,13 +141,14 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = 2000, unlabelled:
                 cut = np.searchsorted(text[new], np.arange(j - i + 1))
                 yield pa.record_batch([pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(found[new].view(np.int64)))], names=["found"])
 
-    def sample(rows: DataFrame) -> list[np.ndarray]:
-        values, at = lists(rows.select("text").mapInArrow(distinct, "found array<long>").toArrow()["found"])
+    def sample(rows: DataFrame, most: int) -> list[np.ndarray]:
+        values, at = lists(rows.select("text").mapInArrow(distinct, "found array<long>").limit(2 * most).toArrow()["found"])
         return [values[x:y].view(np.uint64) for x, y in zip(at, at[1:], strict=False)]
 
     # about ``positives`` ids at most: small enough to broadcast
     toxic = thinned(known.where("label = 1"), positives).select("doc_id")
-    out = fit(sample(docs.join(F.broadcast(toxic), "doc_id", "left_semi")), sample(thinned(docs.where(~held_out()), unlabelled)), prior)
+    docs = docs.select("doc_id", "text")
+    out = fit(sample(docs.join(F.broadcast(toxic), "doc_id", "left_semi"), positives), sample(thinned(docs.where(~held_out()), unlabelled), unlabelled), prior)
     known.unpersist()
     return out
 
@@ -150,8 +157,9 @@ def score(docs: DataFrame, model: Linear, threshold: float = 0.5) -> DataFrame:
     """``docs`` with score (0 to 1) and predicted (1 where score >= threshold). Narrow: nothing is shuffled.
 
     A null or empty text has the intercept's score; repeated rows score alike; any
-    other columns pass through. An empty table gives an empty one.
+    other columns pass through, but for score and predicted, which are replaced. An empty table gives an empty one.
     """
+    docs = docs.drop("score", "predicted")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
     text = names.index("text")

@@ -93,6 +93,9 @@ def test_quality_on_held_out_rows(spark):
     s = [r["score"] for r in got]
     assert len(s) == 6 and all(0 <= x <= 1 for x in s) and abs(s[0] - s[1]) < 1e-9 and abs(s[3] - s[4]) < 1e-9 and s[2] - s[3] > 0.01
     assert quality.score(odd.limit(0), network).count() == 0
+    clash = spark.createDataFrame([(1, "x", "old", 7)], "doc_id long, text string, score string, predicted int")
+    for r in (quality.score(clash, network).first(), toxicity.score(clash, toxicity.Linear(np.zeros(0, np.uint64), np.zeros(0), -4.0)).first()):
+        assert r.asDict().keys() == {"doc_id", "text", "score", "predicted"} and 0 <= r["score"] <= 1 and r["predicted"] in (0, 1)
     none = quality.train(docs.limit(0), labels.limit(0))
     assert quality.score(odd, none).count() == 6
 
@@ -105,7 +108,27 @@ def test_a_score_does_not_depend_on_the_batch():
     assert np.allclose(whole, [network.probability(*join([t]))[0] for t in texts], atol=1e-6)
 
 
-def test_network_slopes():
+def test_network_slopes(monkeypatch):
+    # one step of fitting moves every parameter against its slope, as differences of the loss show it
+    network, texts, label = quality.Network(), [b"abc abc xyz" * 20, b"!!" * 300, b"", b"mixed !! abc"], np.array([1.0, 0.0, 1.0, 0.0])
+    data, at = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    network.p = {k: v.astype(np.float64) for k, v in network.p.items()}
+    loss = lambda: -np.mean(np.log(np.where(label, network.probability(data, at), 1 - network.probability(data, at))))
+    slopes = network.slopes(texts, label)
+    rng = np.random.default_rng(0)
+    for name, slope in slopes.items():
+        where = np.argsort(-np.abs(slope.ravel()))[:12] if name == "table" else rng.permutation(slope.size)[:12]
+        for i in where:
+            value = network.p[name].ravel()
+            old, moved = value[i], []
+            for step in (1e-4, -1e-4):
+                value[i] = old + step
+                moved.append(loss())
+            value[i] = old
+            assert abs((moved[0] - moved[1]) / 2e-4 - slope.ravel()[i]) < 2e-2 * np.abs(slope).max() + 1e-6, name
+
+
+def test_network_learns():
     network = quality.Network()
     texts, label = [b"abc abc xyz" * 20, b"!!" * 300], np.array([1.0, 0.0])
     data, at = np.frombuffer(b"".join(texts), np.uint8), np.array([0, len(texts[0]), len(texts[0]) + len(texts[1])])
@@ -136,6 +159,19 @@ def test_non_negative_risk_separates():
     assert np.mean([logit(make(True)) > 0 for _ in range(100)]) > 0.85 and np.mean([logit(make(False)) > 0 for _ in range(100)]) < 0.05
 
 
+def test_non_negative_risk_climbs_back(monkeypatch):
+    # few unlabelled texts and a large prior: without the correction the negative risk would fall far below zero
+    rng = np.random.default_rng(2)
+    bad = [np.unique(rng.integers(1, 40, 12)).astype(np.uint64) for _ in range(60)]
+    mixed = [*bad[:2], *(np.unique(rng.integers(1000, 9000, 12)).astype(np.uint64) for _ in range(28))]
+    risks = []
+    plain = toxicity.risk
+    monkeypatch.setattr(toxicity, "risk", lambda *a: risks.append(plain(*a)) or risks[-1])
+    model = toxicity.fit(bad, mixed, 0.5)
+    assert min(risks) < 0, "the corrected branch was never reached"
+    assert risks[-1] > -0.1 and np.isfinite(model.weight).all()
+
+
 def test_pipeline_stage_by_stage(spark):
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert len(names) == 5 and "pipeline" in __spark_entry__.queries()
@@ -175,12 +211,24 @@ def test_pipeline_takes_odd_rows(spark):
     schema = table(spark, SF, "documents").schema
     odd = spark.createDataFrame([(None, None, None, None, None), (None, "a b", "en", "s", 3), (1, "", "en", "s", 0), (2, None, "en", "s", None), (3, "x\ny", "en", "s", 3), (3, "x\ny", "en", "s", 3)], schema)
     for rows in (odd, odd.limit(0)):
-        docs = rows
+        docs = rows.withColumns({c: F.lit(1) for c in ("score", "predicted", "row", "kept", "th", "component", "key")})
         for _, stage in corpus_pipeline.STAGES:
             docs = written(stage(spark, docs, SF), "odd")
         assert docs.count() == (5 if rows is odd else 0)
 
 
+def test_pipeline_keeps_texts_of_odd_ids(spark):
+    rng = np.random.default_rng(4)
+    text = lambda: " ".join(f"w{x}" for x in rng.integers(0, 10**6, 80))
+    one, two, three, four = (text() for _ in range(4))
+    rows = [(7, one), (7, two), (None, three), (None, three), (9, four), (8, four), (None, four), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], table(spark, SF, "documents").schema)
+    docs = written(corpus_pipeline.drop_near_copies(spark, docs, SF), "odd")
+    assert sorted(((r["doc_id"], r["text"]) for r in docs.collect()), key=str) == sorted([(7, one), (7, two), (None, three), (8, four), (None, None)], key=str)
+    docs = corpus_pipeline.drop_repeated_passages(spark, docs, SF)
+    assert sorted(((r["doc_id"], r["text"]) for r in docs.collect()), key=str) == sorted([(7, one), (7, two), (None, three), (8, four), (None, None)], key=str)
+
+
 def test_quality_learns_from_whole_texts(spark, monkeypatch):
     # a poor part between what four excerpts of 1024 bytes would show
     texts = {i: "fine words here. " * 200 + (f"junk{i}!! " * 500 if i % 2 else "") + "fine words here. " * 200 for i in range(60)}
