@@ -294,8 +294,8 @@ def remove_repeats(docs: DataFrame, span: int = 50, keep_text: bool = False) ->
     classes = written(long.groupBy("c1", "c2").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "th")).alias("rep")), "classes")
     mine = F.struct("doc_id", "th").eqNullSafe(F.col("rep"))
     known = written(long.join(classes, ["c1", "c2"]).select("doc_id", "th", "c1", "c2", "n", "sha", "copies", F.when(mine, F.col("anchors")).alias("anchors")), "known")
-    short = rows.where(F.col("n") < span).select("doc_id", "n", "sha")
-    dropped(classes)
+    short = written(rows.where(F.col("n") < span).select("doc_id", "n", "sha"), "short")
+    dropped(classes, rows)
 
     reps = known.where("anchors is not null")
     reps = reps.where("copies = 1").unionByName(reps.where("copies > 1").dropDuplicates(["c1", "c2"])).select("doc_id", "th", "c1", "c2", "copies", "anchors")
@@ -303,7 +303,9 @@ def remove_repeats(docs: DataFrame, span: int = 50, keep_text: bool = False) ->
     shared = written(entries.groupBy("anchor").agg(F.count("*").alias("many")).where("many > 1").select("anchor", (F.col("many") > TREE).alias("is_hot")), "shared")
     wanted = entries.join(shared, "anchor").groupBy("doc_id", "th", "c1", "c2", "copies").agg(F.collect_set("anchor").alias("shared"), F.collect_set(F.when(F.col("is_hot"), F.col("anchor"))).alias("hot"))
     wanted = written(wanted.withColumnRenamed("doc_id", "id").withColumnRenamed("th", "of"), "wanted")
-    dropped(shared)
+    lean = written(known.select("doc_id", "c1", "c2", "n", "sha", "copies"), "known")
+    dropped(shared, known)
+    known = lean
     here = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("th") == F.col("of"))
     leaves = written(suffixes(docs.join(wanted, here), span), "suffixes")
 

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from sigloom.llm.grouping import runs
 from sigloom.llm.vectors import matrix, usable
 
-ROWS, QUERIES, STEP = 8192, 2048, 96
+#: Rows and queries in a block, and the depth first read to; it doubles from step to step, so that at most twice the depth needed is read.
+ROWS, QUERIES, STEP = 8192, 2048, 4
 
 
 class Lists:
@@ -29,6 +30,7 @@ class Lists:
         self.ids, self.values = ids[order], values[order]
         self.order = np.argsort(self.values, axis=0, kind="stable").T.copy()
         self.exact = float(np.abs(values).max(initial=0)) ** 2 * values.shape[1] < 2.0**53
+        self.scored = 0
         self.whole = self.values if self.exact else self.values.astype(np.int64)
 
     def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -38,14 +40,16 @@ class Lists:
         down = query > 0
         seen = self.ids == own
         best, score = np.zeros(0, np.int64), np.zeros(0, weight.dtype)
-        for depth in range(0, n, STEP):
-            stop = min(n, depth + STEP)
+        stop = 0
+        while stop < n:
+            depth, stop = stop, min(n, 2 * stop or STEP)
             read = np.where(down[:, None], self.order[:, ::-1][:, depth:stop], self.order[:, depth:stop])
             fresh = np.zeros(n, bool)
             fresh[read.ravel()] = True
             fresh &= ~seen
             seen |= fresh
             rows = np.flatnonzero(fresh)
+            self.scored += len(rows)
             best = np.concatenate([best, rows])
             score = np.concatenate([score, self.whole[rows] @ weight])
             if len(best) > k:
@@ -74,9 +78,11 @@ def top_k(rows: DataFrame, every: int = 100, k: int = 10, scale: int = 1024) ->
     good = rows.where(usable(rows, "v"))
     n = good.count()
     queries = good.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "v"])
-    blocks, groups = max(1, -(-n // ROWS)), max(1, -(-n // every // QUERIES))
+    blocks, groups = max(1, -(-n // ROWS)), max(1, -(-queries.count() // QUERIES))
     key = F.xxhash64("vec_id", "v")
-    side = good.select(F.lit(0).alias("side"), key.alias("key"), "vec_id", "v", F.pmod("key", F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
+    # rows that repeat are dealt apart
+    dealt = good.withColumn("key", key).withColumn("block", F.pmod(F.xxhash64("key", F.monotonically_increasing_id()), F.lit(blocks)).cast("int"))
+    side = dealt.select(F.lit(0).alias("side"), "key", "vec_id", "v", "block", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
     asked = queries.select(F.lit(1).alias("side"), key.alias("key"), "vec_id", "v", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.pmod("key", F.lit(groups)).cast("int").alias("group"))
 
     def run(batches):

@@ -53,6 +53,7 @@ def test_reading_stops_early():
     lists = topk.Lists(np.arange(5000), values)
     q = np.array([3000.0, 10.0, -5.0, 1.0])
     ids, scores = lists.search(q, -1, 10)
+    assert lists.scored < 0.2 * 5000  # one weight outdoes the others, so its list alone tells the bound
     order = np.lexsort((np.arange(5000), -(values @ q)))[:10]
     assert ids.tolist() == order.tolist() and scores.tolist() == (values @ q)[order].astype(int).tolist()
 
@@ -60,6 +61,7 @@ def test_reading_stops_early():
 @pytest.mark.parametrize("block", [4096, 25])
 def test_near_vectors_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(egojoin, "BLOCK", block)
+    monkeypatch.setattr(egojoin, "INTERVAL", 3)
     rng = np.random.default_rng(block)
     centres = rng.normal(size=(20, 12))
     x = np.array([centres[i % 20] * rng.uniform(0.5, 3) + rng.normal(scale=0.2, size=12) for i in range(240)], np.float32)
@@ -75,6 +77,25 @@ def test_near_vectors_brute_force(spark, monkeypatch, block):
     assert links and egojoin.near_duplicates(vectors(spark, ODD).limit(0)).count() == 0 and egojoin.near_duplicates(vectors(spark, ODD)).count() == len(ODD)
 
 
+def test_near_vectors_of_repeated_ids(spark):
+    rows = [(1, [1, 0, 0]), (1, [0, 1, 0]), (2, [1, 0.01, 0]), (0, [0, 0.02, 1]), (3, [0, 0, 1]), (3, [0, 0, 1])]
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in egojoin.near_duplicates(vectors(spark, rows)).collect())
+    assert got == sorted([(1, 1, 1), (1, 0, 1), (2, 1, 1), (0, 2, 0), (3, 2, 0), (3, 2, 0)])
+
+
+def test_boxes_are_joined_by_halving(monkeypatch):
+    rng = np.random.default_rng(6)
+    low = np.sort(rng.normal(size=(300, 3)), axis=0)
+    boxes = np.stack([low, low + 0.1], axis=1)
+    gap = np.maximum(0, np.maximum(low[:, None] - low[None] - 0.1, low[None] - low[:, None] - 0.1))
+    want = {(i, j) for i, j in zip(*np.nonzero((gap**2).sum(axis=-1) <= 0.01)) if i <= j}
+    for size in (64, 4):
+        monkeypatch.setattr(egojoin, "BOXES", size)
+        assert set(map(tuple, egojoin.near_boxes(boxes, boxes, 0.01, True))) == want
+        parts = {(i, j + 100) for i, j in map(tuple, egojoin.near_boxes(boxes[:100], boxes[100:], 0.01, False))}
+        assert parts == {(i, j) for i, j in want if i < 100 <= j}
+
+
 def accuracy(scored, labels, column):
     rows = scored.join(labels.select("doc_id", F.col(column).alias("label")), "doc_id").where("held_out").collect()
     return np.mean([r["predicted"] == r["label"] for r in rows]), {k: np.mean([r["predicted"] for r in rows if r["label"] == k]) for k in (0, 1)}
