@@ -18,7 +18,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -202,7 +202,11 @@ def near_duplicates(rows: DataFrame, least: float = 0.95) -> DataFrame:
     placed = written(reps.select("rep", "size", "v").mapInArrow(place, f"rep long, size long, v {kind}, {', '.join(f'{g} int' for g in grid)}, y0 double, y array<double>"), "placed")
     n = placed.count()
     blocks = max(1, -(-n // BLOCK))
-    dealt = written(placed.repartitionByRange(blocks, *grid, "y0", "rep").select("rep", "size", "v", "y", F.spark_partition_id().alias("block")), "blocks")
+    # partitions that follow each other make up a block, however many partitions there are
+    parts = written(placed.repartitionByRange(4 * blocks, *grid, "y0", "rep").select("rep", "size", "v", "y", F.spark_partition_id().alias("part")), "parts")
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    block_of = parts.groupBy("part").agg(F.count("*").alias("n")).select("part", F.floor(before / BLOCK).cast("int").alias("block"))
+    dealt = parts.join(block_of, "part").select("rep", "size", "v", "y", "block")
     ends = [f(F.get("y", F.lit(i))) for f in (F.min, F.max) for i in range(width)]
     boxes = written(dealt.groupBy("block").agg(F.array(*ends).alias("box")), "boxes")
     limit = epsilon**2 * (1 + 1e-9) + 1e-9
@@ -252,7 +256,7 @@ def near_duplicates(rows: DataFrame, least: float = 0.95) -> DataFrame:
 
     met = dealt.groupBy("block").cogroup(partners.groupBy("block")).applyInArrow(sent, schema)
     found = written(met.repartition("i", "j").sortWithinPartitions("i", "j").mapInArrow(meet, "a long, links long, b long"), "links")
-    dropped(placed, dealt, boxes, pairs)
+    dropped(placed, parts, boxes, pairs)
     counts = found.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     linked = components(found.select("a", "b")).withColumnRenamed("id", "rep")
     known = classes.select("rep", "first").join(counts, "rep", "left").join(linked, "rep", "left").select("rep", "first", "links", F.coalesce("component", "rep").alias("component"))
