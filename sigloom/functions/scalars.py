@@ -18,6 +18,8 @@ KERNELS = (
     ("CGM", ("catia", "cgm", "3dexperience", "solidedge")),
 )
 DATE_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd HH:mm:ss", "yyyy-MM-dd")
+STANDARD = ("trace_id", "span_id", "corr_id", "job_id", "attempt", "latency_ms", "msg")
+DROPPED = ("task_id", "stage")
 LEVELS = {"debug": 10, "info": 20, "warning": 30, "error": 40, "critical": 50}
 
 
@@ -161,6 +163,12 @@ def line_text(parts: Sequence[Column], fields: Mapping[str, Column]) -> Column:
     return F.concat_ws("|", *(some(p.cast("string")) for p in parts), *(F.concat(F.lit(f"{k}="), some(v.cast("string"))) for k, v in fields.items()))
 
 
+def record_fields(fields: Column, standard: Sequence[str] = STANDARD, dropped: Sequence[str] = DROPPED) -> dict[str, Column]:
+    """A log record's standard fields as columns, and extras, a map of the others but for those that are dropped; null for none."""
+    rest = F.map_filter(fields, lambda k, v: ~k.isin(*standard, *dropped))
+    return {**{k: F.element_at(fields, k) for k in standard}, "extras": F.when(F.size(rest) > 0, rest)}
+
+
 def level_at_least(level: Column, least: str) -> Column:
     numbers = F.create_map(*(F.lit(x) for pair in LEVELS.items() for x in pair))
     return F.coalesce(F.element_at(numbers, F.lower(level)), F.lit(0)) >= LEVELS[least]

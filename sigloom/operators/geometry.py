@@ -52,6 +52,24 @@ def distance_histogram(points: DataFrame, partner: Column, part: str = "part", b
     return found.groupBy(part, "bin").agg(F.count("*").alias("cnt"))
 
 
+def drawn_histogram(points: DataFrame, part: str = "part", pairs: int = 20_000, bins: int = 64, seed: int = 0) -> DataFrame:
+    """Counts of the distances of ``pairs`` drawn pairs (i, j), i = j allowed, of each part's normalised points.
+
+    ``points`` has idx from 0 and at most a few thousand points of a part, which fit one array; pair k is
+    (k * 7919 + seed, k * 104729 + k div n + 13) modulo n. Parts of fewer than four points have none.
+    """
+    unit = normalised(points, part).where("n >= 4")
+    rows = unit.groupBy(part).agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", *AXES))), lambda p: F.struct(*(p[a] for a in AXES))).alias("p"))
+    n = F.size("p").cast("long")
+
+    def bin_at(k: Column) -> Column:
+        a, b = F.get("p", F.pmod(k * 7919 + seed, n).cast("int")), F.get("p", F.pmod(k * 104729 + F.floor(k / n) + 13, n).cast("int"))
+        return bin_of(clip(norm(*(a[c] - b[c] for c in AXES)) / F.lit(math.sqrt(3) + 1e-9), 0.0, 1.0), 0.0, 1.0, bins)
+
+    found = rows.select(part, F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.lit(pairs - 1).cast("long")), bin_at)).alias("bin"))
+    return found.groupBy(part, "bin").agg(F.count("*").alias("cnt"))
+
+
 def dense(histogram: DataFrame, part: str, bins: int) -> DataFrame:
     """One array of ``bins`` shares per part, zeros filled in."""
     entries = F.map_from_entries(F.collect_list(F.struct("bin", "cnt")))
@@ -75,9 +93,12 @@ def edge_pairs(edges: DataFrame, keys: Sequence[str], order: Sequence[str], keep
     return out.where("_n = 2").drop("_n")
 
 
-def dihedral_histogram(pairs: DataFrame, part: str = "part", bins: int = 36, normal: Sequence[str] = ("nx", "ny", "nz")) -> DataFrame:
-    """Counts of the angles between the normals at each edge; pairs with an undefined normal are left out."""
-    a, b = ([F.col(f"{c}_{s}") for c in normal] for s in "ab")
+def dihedral_histogram(pairs: DataFrame, part: str = "part", bins: int = 36, normal: Sequence[str] = ("nx", "ny", "nz"), flipped: str | None = None) -> DataFrame:
+    """Counts of the angles between the normals at each edge; pairs with an undefined normal are left out.
+
+    Normals of faces whose column ``flipped`` is true (reversed orientation) count with the other sign.
+    """
+    a, b = ([F.col(f"{c}_{s}") * (F.when(F.col(f"{flipped}_{s}"), -1.0).otherwise(1.0) if flipped else F.lit(1.0)) for c in normal] for s in "ab")
     la, lb = norm(*a) + F.lit(1e-12), norm(*b) + F.lit(1e-12)
     dot = sum(((p / la) * (q / lb) for p, q in zip(a[1:], b[1:], strict=True)), (a[0] / la) * (b[0] / lb))
     angle = F.acos(clip(dot, -1.0, 1.0))
@@ -93,14 +114,7 @@ def value_hash(*values: Column, scale: int = 1000) -> Column:
 
 
 def signature_rows(points: DataFrame, part: str = "part") -> DataFrame:
-    """A row per part: whether it has enough points, ratios and hash; descriptors are null below four points."""
+    """A row per part: whether it has enough points, and its ratios, which are null below four points."""
     enough = F.col("n") >= 4
-    out = box_ratios(points, part)
-    return out.select(
-        F.col(part).cast("string").alias("part_id"),
-        F.when(enough, 1).otherwise(0).alias("has_points"),
-        F.when(enough, F.round("r1", 6)).alias("r1"),
-        F.when(enough, F.round("r2", 6)).alias("r2"),
-        F.when(enough, value_hash(F.col("r1"), F.col("r2"))).otherwise("").alias("geom_hash"),
-        F.lit("").alias("error"),
-    )
+    ratios = (F.when(enough, F.round(r, 6)).alias(r) for r in ("r1", "r2"))
+    return box_ratios(points, part).select(F.col(part).cast("string").alias("part_id"), F.when(enough, 1).otherwise(0).alias("has_points"), *ratios)

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 
 from sigloom.tables import written
 
-SALTS = 32
-
-
 def with_ordinal(df: DataFrame, order: Sequence[Column | str], name: str = "ordinal") -> DataFrame:
     """Numbers rows from 0 in ``order``, which must be total.
 
@@ -39,20 +36,19 @@ def head(df: DataFrame, order: Sequence[Column | str], n: int | None = None, fra
     if n is None and frac is None:
         return df
     if n is None:
-        total = df.count()
-        n = max(0, min(total, math.ceil(frac * total)))
+        # a share of a large table is large: it is numbered and cut where it lies, in no single place
+        wanted = math.ceil(min(1.0, max(0.0, frac)) * df.count())
+        return with_ordinal(df, order, "_ordinal").where(F.col("_ordinal") < wanted).drop("_ordinal")
     return df.orderBy(*order).limit(max(0, n))
 
 
 def first_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], k: int, rank: str = "rank") -> DataFrame:
     """The first ``k`` rows of each key with their rank from 1.
 
-    Ranked within salted parts of a key first, so that a key with very many rows
-    is cut down in parallel; the last step sees SALTS * k rows of a key at most.
+    Spark cuts each task's rows of a key down to ``k`` before they are dealt (WindowGroupLimit), so a
+    key with very many rows comes to its task as k rows from each.
     """
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS))
-    some = df.withColumn("_salt", salt).withColumn(rank, F.row_number().over(Window.partitionBy(*keys, "_salt").orderBy(*order))).where(F.col(rank) <= k)
-    return some.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col(rank) <= k).drop("_salt")
+    return df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col(rank) <= k)
 
 
 def sample_k(df: DataFrame, keys: Sequence[str], by: Column, k: int) -> DataFrame:
@@ -61,8 +57,14 @@ def sample_k(df: DataFrame, keys: Sequence[str], by: Column, k: int) -> DataFram
 
 
 def hash_sample(df: DataFrame, id_: Column, rate: float) -> DataFrame:
-    """Rows whose id falls below ``rate`` under a multiplicative hash: the same ones every time."""
-    return df.where(F.pmod(id_ * F.lit(2654435761), F.lit(1000)) < round(rate * 1000))
+    """Rows whose id's MD5 falls below ``rate``, in thousandths: the same ones every time, whatever pattern ids follow."""
+    prefix = F.conv(F.substring(F.md5(id_.cast("string")), 1, 8), 16, 10).cast("long")
+    return df.where(F.pmod(prefix, F.lit(1000)) < round(rate * 1000))
+
+
+def every_nth(df: DataFrame, order: Sequence[Column | str], n: int = 100) -> DataFrame:
+    """Each ``n``-th row in ``order``, with its ordinal from 1: what a job reports of its progress."""
+    return with_ordinal(df, order).withColumn("ordinal", F.col("ordinal") + 1).where(F.col("ordinal") % n == 0)
 
 
 def cyclic(df: DataFrame, order: Sequence[Column | str], target: int, id_: str) -> DataFrame:

@@ -2,23 +2,71 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sigloom.operators.order import with_ordinal
 
-STRATEGIES = ("fixed", "weighted", "hash")
+# The strategies' other names.
+STRATEGIES = {
+    "fixed": ("fixed-size", "fixed-size chunk", "chunk"),
+    "weighted": ("weight", "weight-balanced", "lpt", "greedy"),
+    "hash": ("mod", "modulo", "stable"),
+}
 SLACK = 1e-9
 
 
+def strategy(name: str) -> str:
+    """The strategy that a name, in any case and with blanks around, stands for."""
+    wanted = name.strip().lower()
+    for known, others in STRATEGIES.items():
+        if wanted == known or wanted in others:
+            return known
+    raise ValueError(f"no such strategy: {name}")
+
+
+def assigned(items: DataFrame, how: str, job: str, order: Sequence[str], weight: str, max_items: int, max_weight: float) -> DataFrame:
+    """``items`` with task_idx within their job by a named strategy; ``hash`` deals by id over so many tasks as the job's number of items needs."""
+    if max_items < 1:
+        raise ValueError("a task needs room for an item")
+    kind = strategy(how)
+    if kind == "weighted":
+        return weighted(items, job, order, weight, max_items, max_weight)
+    counts = items.groupBy(job).agg(F.count("*").alias("_n"))
+    if kind == "hash":
+        tasks = F.ceil(F.col("_n") / max_items)
+        return items.join(counts, job).withColumn("task_idx", F.pmod(hashed(*(F.col(c) for c in order)), tasks)).select(job, "task_idx", weight, *order)
+    before = Window.orderBy(job).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(job, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    numbered = with_ordinal(items, [job, *order]).join(starts, job)
+    return numbered.withColumn("task_idx", F.floor((F.col("ordinal") - F.col("_start")) / max_items)).select(job, "task_idx", weight, *order)
+
+
+def hashed(*parts: Column) -> Column:
+    """32 bits of the MD5 of the parts' texts, which engines agree on."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *(p.cast("string") for p in parts))), 1, 8), 16, 10).cast("long")
+
+
+def shuffled(packed: DataFrame, keys: Sequence[str], id_: str, seed: int = 0) -> DataFrame:
+    """``packed`` with place, a row's place in its task after a shuffle that seed, task and id determine; tasks are bounded."""
+    by = hashed(F.lit(seed), *(F.col(k) for k in keys), F.col(id_))
+    return packed.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy(by, id_)) - 1)
+
+
+def thousandths(x: Column) -> Column:
+    """A weight as text that engines agree on."""
+    return F.round(x * 1000).cast("long").cast("string")
+
+
 def normalised_items(rows: DataFrame, ref: Sequence[Column], weight: Column, order: Sequence[Column | str], keep: Sequence[str] = ()) -> DataFrame:
     """payload_ref (the first of ``ref`` that is not null), weight (1 for null), idx, checksum. A negative weight fails the query."""
     value = F.coalesce(weight, F.lit(1.0))
     checked = F.when(value < 0, F.raise_error(F.lit("weight must not be negative")).cast("double")).otherwise(value)
     out = with_ordinal(rows.select(F.coalesce(*(r.cast("string") for r in ref)).alias("payload_ref"), checked.alias("weight"), *keep), order, "idx")
-    return out.withColumn("checksum", checksum(F.col("payload_ref"), F.col("idx")))
+    return out.withColumn("checksum", checksum(F.col("payload_ref"), thousandths(F.col("weight")), F.col("idx")))
 
 
 def checksum(*parts: Column) -> Column:
@@ -38,47 +86,42 @@ def weighted(items: DataFrame, job: str, order: Sequence[str], weight: str, max_
 
     A task closes once it has ``max_items`` items or ``max_weight``, looked at after an
     item is added, so its weight may exceed the limit. ``strict`` fails on an item
-    heavier than the limit. A job is packed in sequence, in memory of one task: the
-    running sum starts anew at places that depend on all before. Jobs are packed in parallel.
+    heavier than the limit. A job is packed in sequence, as the
+    running sum starts anew at places that depend on all before; its sorted items stream
+    through one task, which holds three numbers of it. Jobs are packed in parallel.
     """
+    if max_items < 1:
+        raise ValueError("a task needs room for an item")
     if strict:
         too = F.col(weight) > max_weight
         items = items.withColumn(weight, F.when(too, F.raise_error(F.lit("an item exceeds the limit")).cast("double")).otherwise(F.col(weight)))
-    row = F.struct(*order, F.col(weight).alias("_w"), *(c for c in keep if c not in order))
-    start = F.struct(F.lit(0).alias("task"), F.lit(0).alias("n"), F.lit(0.0).alias("w"), F.array().cast("array<int>").alias("out"))
-
-    def add(state: Column, item: Column) -> Column:
-        full = (state["n"] >= max_items) | (state["w"] >= max_weight - SLACK)
-        task = F.when(full, state["task"] + 1).otherwise(state["task"])
-        return F.struct(
-            task.alias("task"),
-            F.when(full, 1).otherwise(state["n"] + 1).alias("n"),
-            F.when(full, item["_w"]).otherwise(state["w"] + item["_w"]).alias("w"),
-            F.concat(state["out"], F.array(task)).alias("out"),
-        )
-
-    grouped = items.groupBy(job).agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    # lists are put together in runs of 256, so that appending stays cheap in a long job
-    step = 256
-
-    def run(state: Column, begin: Column) -> Column:
-        part = F.aggregate(F.slice("rows", begin + 1, step), F.struct(state["task"].alias("task"), state["n"].alias("n"), state["w"].alias("w"), F.array().cast("array<int>").alias("out")), add)
-        return F.struct(part["task"].alias("task"), part["n"].alias("n"), part["w"].alias("w"), F.concat(state["out"], F.array(part["out"])).alias("out"))
-
-    begins = F.sequence(F.lit(0), F.greatest(F.size("rows") - 1, F.lit(0)), F.lit(step))
-    first = F.struct(start["task"].alias("task"), start["n"].alias("n"), start["w"].alias("w"), F.array().cast("array<array<int>>").alias("out"))
-    tasks = F.flatten(F.aggregate(begins, first, run)["out"])
-    out = grouped.select(job, F.explode(F.arrays_zip(F.col("rows").alias("r"), tasks.alias("task_idx"))).alias("z"))
-    return out.select(job, F.col("z.task_idx").alias("task_idx"), F.col("z.r._w").alias(weight), *(F.col(f"z.r.{c}").alias(c) for c in dict.fromkeys([*order, *keep])))
+    columns = list(dict.fromkeys([job, *order, weight, *keep]))
+
+    def run(batches: Iterable[pd.DataFrame]):
+        held, task, count, total = object(), 0, 0, 0.0
+        for pdf in batches:
+            found = []
+            for name, w in zip(pdf[job], pdf[weight], strict=True):
+                if name != held:
+                    held, task, count, total = name, 0, 0, 0.0
+                elif count >= max_items or total >= max_weight - SLACK:
+                    task, count, total = task + 1, 0, 0.0
+                count, total = count + 1, total + w
+                found.append(task)
+            yield pdf.assign(task_idx=pd.Series(found, index=pdf.index, dtype="int32"))
+
+    rows = items.where(F.col(job).isNotNull()).select(*columns)
+    dealt = rows.repartition(job).sortWithinPartitions(job, *order)
+    return dealt.mapInPandas(run, rows.schema.add("task_idx", "integer")).select(job, "task_idx", weight, *(c for c in columns if c not in (job, weight)))
 
 
 def tasks(packed: DataFrame, keys: Sequence[str], ref: str, idx: str, weight: str, seed: int = 0) -> DataFrame:
-    """A row per task: its items in order, their number and weight, a checksum and an id that repeats for the same content."""
-    items = F.array_sort(F.collect_list(F.struct(F.col(idx).alias("idx"), F.col(ref).cast("string").alias("ref"))))
+    """A row per task: its items in order, their number and weight, a checksum of all that and an id that repeats for the same content."""
+    items = F.array_sort(F.collect_list(F.struct(F.col(idx).alias("idx"), F.concat_ws(":", F.col(ref).cast("string"), thousandths(F.col(weight)), F.col(idx).cast("string")).alias("ref"))))
     out = packed.groupBy(*keys).agg(items.alias("items"), F.count("*").alias("n_items"), F.sum(weight).alias("weight"))
     refs = F.array_join(F.transform("items", lambda i: i["ref"]), ";")
     out = out.withColumn("checksum", checksum(refs, F.lit(seed)))
-    return out.withColumn("task_id", checksum(*(F.col(k) for k in keys), F.lit("stream"), F.lit(seed)))
+    return out.withColumn("task_id", checksum(*(F.col(k) for k in keys), F.lit("stream"), F.lit(seed), F.col("checksum")))
 
 
 def totals(built: DataFrame) -> DataFrame:

@@ -95,44 +95,27 @@ def fold(log: DataFrame, now: float, max_attempts: int = 0, retry_delay: float =
     return dealt.select("rec_id", "ts", "op", F.col("arg").cast("double").alias("arg")).mapInPandas(run, STATE)
 
 
-def summary(log: DataFrame) -> DataFrame:
-    """Per record, without lease times: whether it was put, is acked or leased, and its attempts. All in the JVM."""
-    place = F.struct("ts", "seq")
-    last = lambda *ops: F.max(F.when(F.col("op").isin(*ops), place))
-    out = log.groupBy("rec_id").agg(
-        F.coalesce(F.bool_or(F.col("op") == "put"), F.lit(False)).alias("put"),
-        F.coalesce(F.bool_or(F.col("op") == "ack"), F.lit(False)).alias("acked"),
-        F.count_if(F.col("op") == "lease").alias("attempts"),
-        last("lease").alias("_lease"),
-        last("nack").alias("_nack"),
-    )
-    leased = ~F.col("acked") & F.col("_lease").isNotNull() & (F.col("_nack").isNull() | (F.col("_lease") > F.col("_nack")))
-    return out.withColumn("leased", F.coalesce(leased, F.lit(False))).drop("_lease", "_nack")
-
-
-def visible(records: DataFrame, max_attempts: int | None = None) -> DataFrame:
-    out = records.where("not acked and not leased")
+def visible(states: DataFrame, max_attempts: int | None = None) -> DataFrame:
+    """Records of a fold that can be leased at its time: put, not acked, not leased, their delay over, attempts left."""
+    out = states.where("status = 'visible'")
     return out if max_attempts is None else out.where(F.col("attempts") < max_attempts)
 
 
-def lease(records: DataFrame, n: int, max_attempts: int | None = None) -> DataFrame:
+def lease(states: DataFrame, n: int, max_attempts: int | None = None) -> DataFrame:
     """The first ``n`` visible records by id."""
-    return visible(records, max_attempts).orderBy("rec_id").limit(n)
+    return visible(states, max_attempts).orderBy("rec_id").limit(n)
 
 
-def stats(records: DataFrame) -> DataFrame:
-    return records.agg(
-        F.count_if(~F.col("acked") & ~F.col("leased")).alias("visible"),
-        F.count_if("leased").alias("leased"),
-        F.count_if("acked").alias("acked"),
-        F.count("*").alias("total"),
-    )
+def stats(states: DataFrame) -> DataFrame:
+    """Records by status; total are those that were put, delayed ones among them."""
+    count = lambda s: F.count_if(F.col("status") == s).alias(s)
+    return states.agg(*(count(s) for s in ("visible", "leased", "acked", "dead")), F.count_if(F.col("status") != "unknown").alias("total"))
 
 
 def head_segment(records: DataFrame, size: int) -> DataFrame:
-    """The least segment that holds an unacked record, else the last one."""
+    """The least segment that holds a record neither done nor given up, else the last one."""
     segment = F.floor(F.col("rec_id") / size)
-    return records.agg(F.coalesce(F.min(F.when(~F.col("acked"), segment)), F.max(segment)).alias("head_segment"))
+    return records.agg(F.coalesce(F.min(F.when(~F.col("status").isin("acked", "dead"), segment)), F.max(segment)).alias("head_segment"))
 
 
 def ack_bitmap(acked: DataFrame, size: int = 32) -> DataFrame:
@@ -142,7 +125,7 @@ def ack_bitmap(acked: DataFrame, size: int = 32) -> DataFrame:
 
 
 def drained(records: DataFrame) -> DataFrame:
-    return stats(records).select(((F.col("total") == F.col("acked")) & (F.col("visible") == 0) & (F.col("leased") == 0)).alias("drained"))
+    return stats(records).select((F.col("total") == F.col("acked") + F.col("dead")).alias("drained"))
 
 
 def by_queue(leases: DataFrame, queue: Column) -> DataFrame:

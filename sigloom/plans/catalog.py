@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sigloom.functions import scalars as S
 from sigloom.operators import duplicates, fingerprints, geometry, joins, logs, order, packing, queue
+from sigloom.plans import jobs
 from sigloom.sources import files, sinks
 from sigloom.streaming import stateful
 from sigloom.tables import shared_dir, table
@@ -40,6 +41,9 @@ def _points(spark, d, idx=False):
 POINTS = "p AS (SELECT l_suppkey AS part, l_orderkey AS ok, l_linenumber AS ln, l_quantity AS x, l_extendedprice / 1000 AS y, l_discount * 100 AS z FROM lineitem)"
 BOXES = "b AS (SELECT part, count(*) AS n, avg(x) AS mx, avg(y) AS my, avg(z) AS mz, min(x) AS lx, max(x) AS hx, min(y) AS ly, max(y) AS hy, min(z) AS lz, max(z) AS hz FROM p GROUP BY part)"
 UNIT = "u AS (SELECT p.part, ok, ln, n, (x - mx) / dg AS x, (y - my) / dg AS y, (z - mz) / dg AS z FROM p JOIN (SELECT *, sqrt((hx - lx) * (hx - lx) + (hy - ly) * (hy - ly) + (hz - lz) * (hz - lz)) + 1e-9::DOUBLE AS dg FROM b) b ON p.part = b.part)"
+DRAWN = """k AS MATERIALIZED (SELECT part, n, k FROM (SELECT DISTINCT part, n FROM i), range(20000) d(k)),
+g AS (SELECT a.part, least(floor(least(greatest(sqrt((a.x - c.x) * (a.x - c.x) + (a.y - c.y) * (a.y - c.y) + (a.z - c.z) * (a.z - c.z)) / (sqrt(3::DOUBLE) + 1e-9::DOUBLE), 0), 1) * 64), 63)::INTEGER AS bin
+FROM k JOIN i a ON a.part = k.part AND a.idx = k * 7919 % k.n JOIN i c ON c.part = k.part AND c.idx = (k * 104729 + k // k.n + 13) % k.n)"""
 RATIOS = "r AS (SELECT part, n, s[1] / (s[3] + 1e-12::DOUBLE) AS r1, s[2] / (s[3] + 1e-12::DOUBLE) AS r2 FROM (SELECT part, n, list_sort([hx - lx, hy - ly, hz - lz]) AS s FROM b))"
 
 
@@ -60,9 +64,8 @@ def bbox_ratios(spark, d):
 
 
 @query(f"""WITH {POINTS.replace("FROM lineitem", "FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY (l_orderkey * 7 + l_linenumber) * 2654435761 % 1000003, l_orderkey, l_linenumber, l_quantity, l_extendedprice) <= 4096")}, {BOXES}, {UNIT},
-i AS (SELECT *, row_number() OVER (PARTITION BY part ORDER BY ok, ln, x, y) - 1 AS idx FROM u WHERE n >= 4),
-g AS (SELECT a.part, least(greatest(sqrt((a.x - c.x) * (a.x - c.x) + (a.y - c.y) * (a.y - c.y) + (a.z - c.z) * (a.z - c.z)) / (sqrt(3::DOUBLE) + 1e-9::DOUBLE), 0), 1) AS v FROM i a JOIN i c ON a.part = c.part AND (a.idx * 7919 + 13) % a.n = c.idx)
-SELECT part, least(floor(v * 64), 63)::INTEGER AS bin, count(*) AS cnt FROM g GROUP BY ALL""")
+i AS MATERIALIZED (SELECT part, n, x, y, z, row_number() OVER (PARTITION BY part ORDER BY ok, ln, x, y) - 1 AS idx FROM u WHERE n >= 4),
+{DRAWN} SELECT part, bin, count(*) AS cnt FROM g GROUP BY ALL""")
 def d2_pairs_hist(spark, d):
     hashed = F.pmod((F.col("ok") * 7 + F.col("ln")) * F.lit(2654435761), F.lit(1000003))
     some = order.first_k(_points(spark, d), ["part"], [hashed, "ok", "ln", "x", "y"], 4096).drop("rank")
@@ -70,7 +73,7 @@ def d2_pairs_hist(spark, d):
     from pyspark.sql import Window
 
     numbered = some.withColumn("idx", F.row_number().over(Window.partitionBy("part").orderBy("ok", "ln", "x", "y")) - 1)
-    return geometry.distance_histogram(numbered, F.pmod(F.col("idx") * 7919 + 13, F.col("n")))
+    return geometry.drawn_histogram(numbered, pairs=20_000)
 
 
 @query("""SELECT p_brand, count(*) FILTER (p_size % 6 = 0) / count(*) AS plane, count(*) FILTER (p_size % 6 = 1) / count(*) AS cylinder, count(*) FILTER (p_size % 6 = 2) / count(*) AS cone,
@@ -86,7 +89,8 @@ def _edges(spark, d):
 
 
 EDGES = """e AS (SELECT l_partkey, l_orderkey, l_quantity AS nx, l_discount * 100 AS ny, l_tax * 100 AS nz, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber) AS rn FROM lineitem),
-f AS (SELECT a.l_partkey, a.l_orderkey AS l_orderkey_a, b.l_orderkey AS l_orderkey_b, a.nx AS ax, a.ny AS ay, a.nz AS az, b.nx AS bx, b.ny AS by_, b.nz AS bz FROM e a JOIN e b ON a.l_partkey = b.l_partkey AND a.rn = 1 AND b.rn = 2)"""
+f AS (SELECT l_partkey, max(l_orderkey) FILTER (rn = 1) AS l_orderkey_a, max(l_orderkey) FILTER (rn = 2) AS l_orderkey_b, max(nx) FILTER (rn = 1) AS ax, max(ny) FILTER (rn = 1) AS ay, max(nz) FILTER (rn = 1) AS az,
+max(nx) FILTER (rn = 2) AS bx, max(ny) FILTER (rn = 2) AS by_, max(nz) FILTER (rn = 2) AS bz FROM e WHERE rn <= 2 GROUP BY l_partkey HAVING count(*) = 2)"""
 
 
 @query(f"WITH {EDGES} SELECT l_partkey, l_orderkey_a, l_orderkey_b FROM f")
@@ -110,16 +114,40 @@ def geom_hash(spark, d):
     return geometry.box_ratios(_points(spark, d)).select("part", geometry.value_hash(F.col("r1"), F.col("r2")).alias("geom_hash"))
 
 
-SIGNATURES = f"""WITH {POINTS}, {BOXES}, {RATIOS} SELECT part::VARCHAR AS part_id, (n >= 4)::INTEGER AS has_points, CASE WHEN n >= 4 THEN round(r1, 6) END AS r1, CASE WHEN n >= 4 THEN round(r2, 6) END AS r2,
-CASE WHEN n >= 4 THEN {HASHED} ELSE '' END AS geom_hash, '' AS error FROM r"""
+def _dense(name, table, bins):
+    """SQL for the shares of a histogram (part, bin, cnt), zeros filled in."""
+    return f"""{name} AS (SELECT part, list(v ORDER BY bin) AS l FROM (SELECT o.part, b.bin, coalesce(cnt, 0) / (total + 1e-12::DOUBLE) AS v FROM (SELECT part, sum(cnt) AS total FROM {table} GROUP BY part) o
+CROSS JOIN range({bins}) b(bin) LEFT JOIN {table} h ON h.part = o.part AND h.bin = b.bin) GROUP BY part)"""
 
 
-@query(SIGNATURES)
+#: A supplier's lines are its points, faces and edges; an edge's ends are told apart by their coordinates, not by their order.
+FULL = f"""q AS (SELECT l_suppkey AS part, (l_orderkey * 8 + l_linenumber) * 1048576 + l_partkey AS id, l_quantity AS x, l_extendedprice / 1000 AS y, l_discount * 100 AS z, l_partkey, l_quantity, l_linenumber, l_returnflag, l_tax FROM lineitem),
+p AS (SELECT * FROM q QUALIFY row_number() OVER (PARTITION BY part ORDER BY ('0x' || substr(md5(concat_ws('|', '0', part::VARCHAR, id::VARCHAR)), 1, 8))::BIGINT, id) <= 4096), {BOXES},
+u AS (SELECT p.part, id, n, (x - mx) / dg AS x, (y - my) / dg AS y, (z - mz) / dg AS z FROM p JOIN (SELECT *, sqrt((hx - lx) * (hx - lx) + (hy - ly) * (hy - ly) + (hz - lz) * (hz - lz)) + 1e-9::DOUBLE AS dg FROM b) b ON p.part = b.part),
+i AS MATERIALIZED (SELECT part, n, x, y, z, row_number() OVER (PARTITION BY part ORDER BY id) - 1 AS idx FROM u WHERE n >= 4), {DRAWN}, gh AS (SELECT part, bin, count(*) AS cnt FROM g GROUP BY ALL), {_dense("d2", "gh", 64)}, {RATIOS},
+sf AS (SELECT part, [count(*) FILTER (l_partkey % 6 = 0) / count(*), count(*) FILTER (l_partkey % 6 = 1) / count(*), count(*) FILTER (l_partkey % 6 = 2) / count(*), count(*) FILTER (l_partkey % 6 = 3) / count(*), count(*) FILTER (l_partkey % 6 = 4) / count(*), count(*) FILTER (l_partkey % 6 = 5) / count(*)] AS l FROM q GROUP BY part),
+ed AS (SELECT part, l_linenumber AS ka, (l_quantity::BIGINT % 10) AS kb, CASE WHEN l_returnflag = 'R' THEN -1.0 ELSE 1.0 END::DOUBLE AS s, x, z, l_tax * 100 AS t, row_number() OVER (PARTITION BY part, l_linenumber, l_quantity::BIGINT % 10 ORDER BY id) AS rn FROM q),
+ep AS (SELECT part, max(s * x) FILTER (rn = 1) AS ax, max(s * z) FILTER (rn = 1) AS ay, max(s * t) FILTER (rn = 1) AS az, max(s * x) FILTER (rn = 2) AS bx, max(s * z) FILTER (rn = 2) AS by_, max(s * t) FILTER (rn = 2) AS bz FROM ed WHERE rn <= 2 GROUP BY part, ka, kb HAVING count(*) = 2),
+el AS (SELECT *, sqrt(ax * ax + ay * ay + az * az) + 1e-12::DOUBLE AS la, sqrt(bx * bx + by_ * by_ + bz * bz) + 1e-12::DOUBLE AS lb FROM ep),
+eh AS (SELECT part, least(floor(acos(greatest(-1, least(1, (ax / la) * (bx / lb) + (ay / la) * (by_ / lb) + (az / la) * (bz / lb)))) / pi() * 36), 35)::INTEGER AS bin, count(*) AS cnt FROM el GROUP BY ALL), {_dense("dh", "eh", 36)},
+sg AS (SELECT r.part::VARCHAR AS part_id, (n >= 4)::INTEGER AS has_points, CASE WHEN n >= 4 THEN array_to_string(list_transform(list_concat(list_concat(d2.l, [round(r1, 6), round(r2, 6)]), list_concat(sf.l, coalesce(dh.l, list_transform(range(36), lambda x: 0::DOUBLE)))), lambda v: round_even(v * 1000, 0)::BIGINT::VARCHAR), ',') ELSE '' END AS "values",
+CASE WHEN n >= 4 THEN '' ELSE 'too_few_points' END AS error FROM r LEFT JOIN d2 ON d2.part = r.part LEFT JOIN sf ON sf.part = r.part LEFT JOIN dh ON dh.part = r.part)"""
+
+
+@query(f"""WITH {FULL} SELECT *, CASE WHEN has_points = 1 THEN sha256("values") ELSE '' END AS geom_hash FROM sg""")
 def signature_rows(spark, d):
-    return geometry.signature_rows(_points(spark, d))
+    lines = table(spark, d, "lineitem")
+    part, id_ = F.col("l_suppkey").alias("part"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1048576 + F.col("l_partkey")
+    points = lines.select(part, id_.alias("idx"), F.col("l_quantity").alias("x"), (F.col("l_extendedprice") / 1000).alias("y"), (F.col("l_discount") * 100).alias("z"))
+    faces = lines.select(part, F.get(F.array(*map(F.lit, S.SURFACE_TYPES)), F.pmod("l_partkey", F.lit(6)).cast("int")).alias("surface_type"))
+    one, two = [F.col("l_linenumber") / 3, F.lit(0.0), F.lit(0.0)], [F.col("l_quantity").cast("long") % 10 / 7, F.lit(1.0), F.lit(0.0)]
+    edge = F.when(F.col("l_partkey") % 2 == 0, S.edge_key(one, two)).otherwise(S.edge_key(two, one))
+    normal = [F.col("l_quantity").alias("nx"), (F.col("l_discount") * 100).alias("ny"), (F.col("l_tax") * 100).alias("nz")]
+    edges = lines.select(part, edge.alias("edge"), id_.alias("seq"), *normal, (F.col("l_returnflag") == "R").alias("reversed"))
+    return jobs.descriptors(points, faces, edges).select("part_id", "has_points", "values", "geom_hash", "error")
 
 
-@query("SELECT count(DISTINCT l_suppkey) AS rows, sha256((SELECT string_agg(s, ';' ORDER BY s) FROM (SELECT DISTINCT l_suppkey::VARCHAR AS s FROM lineitem))) AS fingerprint FROM lineitem")
+@query(f"WITH {FULL} SELECT count(*) AS rows, sha256(string_agg(part_id, ';' ORDER BY part_id)) AS fingerprint FROM sg")
 def aggregate_outputs(spark, d):
     return fingerprints.aggregate_outputs(signature_rows(spark, d))
 
@@ -247,7 +275,7 @@ def item_projection(spark, d):
 
 
 @query("""WITH i AS (SELECT coalesce(CASE WHEN doc_id % 3 = 0 THEN source END, CASE WHEN doc_id % 3 = 1 THEN lang END, doc_id::VARCHAR) AS payload_ref, CASE WHEN doc_id % 7 = 0 THEN 1.0 ELSE n_chars END::DOUBLE AS weight, row_number() OVER (ORDER BY doc_id) - 1 AS idx FROM documents)
-SELECT *, substr(sha256(concat_ws('|', payload_ref, idx::VARCHAR)), 1, 32) AS checksum FROM i""")
+SELECT *, substr(sha256(concat_ws('|', payload_ref, round(weight * 1000)::BIGINT::VARCHAR, idx::VARCHAR)), 1, 32) AS checksum FROM i""")
 def normalise_items(spark, d):
     id_ = F.col("doc_id")
     rows = table(spark, d, "documents")
@@ -266,7 +294,7 @@ FIXED = "x AS (SELECT o_orderkey, o_totalprice, (row_number() OVER (ORDER BY o_o
 WEIGHTED = """i AS (SELECT p_brand AS job, p_partkey, greatest(1.0::DOUBLE, p_size / 8.0::DOUBLE) AS weight, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS rn FROM part),
 r AS (SELECT job, p_partkey, weight, rn, 0 AS task_idx, 1 AS n, weight AS w FROM i WHERE rn = 1 UNION ALL
 SELECT i.job, i.p_partkey, i.weight, i.rn, CASE WHEN r.n >= 16 OR r.w >= 40 - 1e-9 THEN r.task_idx + 1 ELSE r.task_idx END, CASE WHEN r.n >= 16 OR r.w >= 40 - 1e-9 THEN 1 ELSE r.n + 1 END, CASE WHEN r.n >= 16 OR r.w >= 40 - 1e-9 THEN i.weight ELSE r.w + i.weight END FROM r JOIN i ON i.job = r.job AND i.rn = r.rn + 1)"""
-TASKS = f"""WITH RECURSIVE {WEIGHTED}, b AS (SELECT job, task_idx, count(*) AS n_items, sum(weight) AS weight, string_agg(p_partkey::VARCHAR, ';' ORDER BY p_partkey) AS refs FROM r GROUP BY ALL)"""
+TASKS = f"""WITH RECURSIVE {WEIGHTED}, b AS (SELECT job, task_idx, count(*) AS n_items, sum(weight) AS weight, string_agg(concat_ws(':', p_partkey::VARCHAR, round(weight * 1000)::BIGINT::VARCHAR, p_partkey::VARCHAR), ';' ORDER BY p_partkey) AS refs FROM r GROUP BY ALL)"""
 
 
 @query(f"WITH {FIXED} SELECT task_idx, count(*) AS items, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key FROM t GROUP BY task_idx")
@@ -289,11 +317,24 @@ def _tasks(spark, d):
     return packing.tasks(_packed(spark, d), ["job", "task_idx"], "p_partkey", "p_partkey", "weight")
 
 
-@query(TASKS + " SELECT job, task_idx, n_items, weight, substr(sha256(concat_ws('|', refs, '0')), 1, 32) AS checksum, substr(sha256(concat_ws('|', job, task_idx::VARCHAR, 'stream', '0')), 1, 32) AS task_id FROM b")
+@query(TASKS + " SELECT job, task_idx, n_items, weight, substr(sha256(concat_ws('|', refs, '0')), 1, 32) AS checksum, substr(sha256(concat_ws('|', job, task_idx::VARCHAR, 'stream', '0', substr(sha256(concat_ws('|', refs, '0')), 1, 32))), 1, 32) AS task_id FROM b")
 def task_build(spark, d):
     return _tasks(spark, d).drop("items")
 
 
+@query(f"""WITH RECURSIVE {WEIGHTED}, h AS (SELECT *, ('0x' || substr(md5(concat_ws('|', '7', job, task_idx::VARCHAR, p_partkey::VARCHAR)), 1, 8))::BIGINT AS h FROM r) SELECT job, task_idx, p_partkey, row_number() OVER (PARTITION BY job, task_idx ORDER BY h, p_partkey) - 1 AS place FROM h""")
+def task_shuffle(spark, d):
+    return packing.shuffled(_packed(spark, d), ["job", "task_idx"], "p_partkey", seed=7).select("job", "task_idx", "p_partkey", F.col("place").cast("long").alias("place"))
+
+
+@query("""WITH i AS (SELECT p_brand AS job, p_partkey, count(*) OVER (PARTITION BY p_brand) AS n, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS rn FROM part)
+SELECT 'Chunk' AS strategy, job, p_partkey, rn // 16 AS task_idx FROM i UNION ALL SELECT 'modulo', job, p_partkey, ('0x' || substr(md5(p_partkey::VARCHAR), 1, 8))::BIGINT % ceil(n / 16)::BIGINT FROM i""")
+def pack_by_name(spark, d):
+    items = table(spark, d, "part").select(F.col("p_brand").alias("job"), "p_partkey", F.lit(1.0).alias("weight"))
+    some = [packing.assigned(items, name, "job", ["p_partkey"], "weight", 16, 40.0).select(F.lit(name).alias("strategy"), "job", "p_partkey", F.col("task_idx").cast("long").alias("task_idx")) for name in ("Chunk", "modulo")]
+    return some[0].unionByName(some[1])
+
+
 @query(TASKS + " SELECT count(*) AS tasks, sum(n_items)::BIGINT AS items, sum(weight) AS weight FROM b")
 def plan_totals(spark, d):
     return packing.totals(_tasks(spark, d))
@@ -421,6 +462,32 @@ def summarise_values(spark, d):
     return table(spark, d, "embeddings").select("vec_id", s["size"].alias("size"), F.size(s["sample"]).alias("sampled"), S.truncated(F.repeat(F.lit("x"), 20), 10).alias("text"))
 
 
+@query("""SELECT event_id, user_id::VARCHAR AS job_id, (event_id % 3)::VARCHAR AS attempt, event_type AS msg, NULL::VARCHAR AS trace_id, '{"k":"' || (props->>'$.k') || '","side":"x"}' AS extras FROM events""")
+def record_projection(spark, d):
+    text = lambda c: F.col(c).cast("string")
+    fields = F.create_map(F.lit("job_id"), text("user_id"), F.lit("attempt"), (F.col("event_id") % 3).cast("string"), F.lit("msg"), F.col("event_type"), F.lit("task_id"), text("event_id"), F.lit("stage"), F.lit("s"), F.lit("side"), F.lit("x"), F.lit("k"), F.get_json_object("props", "$.k"))
+    found = S.record_fields(fields)
+    return _events(spark, d).select("event_id", *(found[c].alias(c) for c in ("job_id", "attempt", "msg", "trace_id")), F.to_json(F.map_from_entries(F.array_sort(F.map_entries(found["extras"])))).alias("extras"))
+
+
+@query("SELECT event_id, event_id % 5 = 0 OR event_id % 7 = 0 AS poison, CASE WHEN event_id % 5 > 0 AND event_id % 7 > 0 THEN (props->>'$.k')::BIGINT END AS k FROM events")
+def poison_quarantine(spark, d):
+    k = F.get_json_object("props", "$.k").cast("long")
+    text = F.when(F.col("event_id") % 5 == 0, "{broken").when(F.col("event_id") % 7 == 0, '{"k": 1}').otherwise(F.to_json(F.struct("event_id", k.alias("k"))))
+    rows = files.parsed(_events(spark, d).select("event_id", text.alias("text")), "text", "event_id long, k long", "event_id")
+    return rows.select("event_id", "poison", F.when(~F.col("poison"), F.col("task.k")).alias("k"))
+
+
+@query("""WITH t AS (SELECT doc_id, doc_id % 6 AS m, lang FROM documents)
+SELECT DISTINCT CASE m WHEN 1 THEN lang || '/__pycache__' WHEN 2 THEN lang || '/' || doc_id || '.tmp' ELSE lang || '/lib.egg-info' END AS target, m <> 2 AS is_dir FROM t WHERE m IN (1, 2, 5)""")
+def cleanup_targets(spark, d):
+    m, lang, id_ = F.col("doc_id") % 6, F.col("lang"), F.col("doc_id").cast("string")
+    below = lambda *parts: F.concat_ws("/", lang, *(p if not isinstance(p, str) else F.lit(p) for p in parts))
+    rel = F.when(m == 0, below(".git", "__pycache__", "x.tmp")).when(m == 1, below("__pycache__", "build", id_)).when(m == 2, below(F.concat(id_, F.lit(".tmp")))).when(m == 3, below("venv", "z.tmp")).when(m == 4, below("keep.py")).otherwise(below("lib.egg-info", id_))
+    rows = table(spark, d, "documents").select(rel.alias("rel"))
+    return files.targets(rows, "rel", ["__pycache__", "build"], [".egg-info"], ["*.tmp", "*~"], [".git", "venv"])
+
+
 @query("SELECT event_id, (props->>'$.k')::BIGINT AS k FROM events")
 def json_extract(spark, d):
     return _events(spark, d).select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
@@ -465,6 +532,11 @@ def first_mid_last(spark, d):
     return out.where((F.col("i") == 1) | (F.col("i") == F.floor(F.col("n") / 2) + 1) | (F.col("i") == F.col("n"))).select("task_idx", "o_orderkey")
 
 
+@query("SELECT o_orderkey, ordinal FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS ordinal FROM orders) WHERE ordinal % 100 = 0")
+def every_100th(spark, d):
+    return order.every_nth(table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"], 100)
+
+
 @query(f"WITH {FIXED} SELECT task_idx, count(*) AS errors, string_agg('signature_failed:' || o_orderkey, ';' ORDER BY 'signature_failed:' || o_orderkey) AS messages FROM t WHERE o_orderkey % 17 = 0 GROUP BY task_idx")
 def errors_per_task(spark, d):
     out = packing.fixed(table(spark, d, "orders").select("o_orderkey"), ["o_orderkey"], 128)
@@ -486,54 +558,68 @@ def burst_limit(spark, d):
     return logs.burst_limit(_events(spark, d), ["event_type"], "ts", "event_id", 2, 3600.0)
 
 
-@query("SELECT event_id, event_type FROM events WHERE (event_id * 2654435761) % 1000 < 100")
+@query("SELECT event_id, event_type FROM events WHERE ('0x' || substr(md5(event_id::VARCHAR), 1, 8))::BIGINT % 1000 < 100")
 def rate_sample_hash(spark, d):
     return order.hash_sample(_events(spark, d), F.col("event_id"), 0.1).select("event_id", "event_type")
 
 
-@query()
+@query(f"WITH RECURSIVE {_BURST} SELECT event_type, event_id, admitted FROM r")
 def burst_limit_stream(spark, d):
     events = stateful.parquet_stream(spark, f"{d}/events.parquet", ["event_id", "event_type", "ts"])
-    return _drained(spark, stateful.burst_limited(events, "event_type", "ts", "event_id", 2, 3600.0), "burst", "append")
+    return _drained(spark, stateful.burst_limited(events, "event_type", "ts", "event_id", 2, 3600.0), "append")
 
 
-# ---- the queue: events as its log, three to a record ----
+# ---- the queue: events as its log, a user's to a record; a lease or a delay is half a day ----
 
-_OP = "CASE event_type WHEN 'signup' THEN 'put' WHEN 'view' THEN 'lease' WHEN 'purchase' THEN 'ack' WHEN 'error' THEN 'nack' ELSE 'extend' END"
-LOG = f"o AS (SELECT event_id // 3 AS rec_id, event_id AS seq, epoch_us(ts) AS t, {_OP} AS op FROM events)"
-RECORDS = f"""{LOG}, g AS (SELECT rec_id, bool_or(op = 'put') AS put, bool_or(op = 'ack') AS acked, count(*) FILTER (op = 'lease') AS attempts, max((t, seq)) FILTER (op = 'lease') AS l, max((t, seq)) FILTER (op = 'nack') AS n FROM o GROUP BY rec_id),
-s AS (SELECT rec_id, put, acked, attempts, coalesce(NOT acked AND l IS NOT NULL AND (n IS NULL OR l > n), false) AS leased FROM g)"""
+LEASE, ATTEMPTS = 43200.0, 14
+_OP = "CASE event_type WHEN 'signup' THEN 'put' WHEN 'view' THEN 'lease' WHEN 'error' THEN 'nack' WHEN 'click' THEN 'extend' ELSE CASE WHEN event_id % 16 = 0 THEN 'ack' ELSE 'lease' END END"
+LOG = f"o AS (SELECT user_id AS rec_id, event_id AS seq, epoch_us(ts) / 1000000.0::DOUBLE AS t, {_OP} AS op FROM events)"
+#: The fold, one operation of every record at a time, and its states at the time of the last operation of all.
+FOLD = f"""{LOG}, i AS (SELECT *, row_number() OVER (PARTITION BY rec_id ORDER BY t, seq) AS rn FROM o),
+r AS (SELECT DISTINCT rec_id, 0::BIGINT AS rn, false AS known, false AS acked, false AS dead, 0 AS attempts, 0::DOUBLE AS lu, 0::DOUBLE AS va, 0::DOUBLE AS t FROM o UNION ALL
+SELECT rec_id, rn, known OR op = 'put', acked OR (live AND (op = 'ack' OR (due AND attempts >= {ATTEMPTS}))), dead OR (live AND due AND attempts >= {ATTEMPTS}), CASE WHEN live AND due AND attempts < {ATTEMPTS} THEN attempts + 1 ELSE attempts END,
+CASE WHEN live AND ((due AND attempts < {ATTEMPTS}) OR (op = 'extend' AND lu > 0)) THEN t + {LEASE} WHEN live AND op IN ('ack', 'nack') THEN 0 ELSE lu END, CASE WHEN live AND op = 'nack' THEN t + {LEASE} ELSE va END, t
+FROM (SELECT *, known AND NOT acked AND op <> 'put' AS live, op = 'lease' AND lu = 0 AND va <= t AS due FROM (SELECT i.rec_id, i.rn, i.op, i.t, known, acked, dead, attempts, CASE WHEN lu > 0 AND lu <= i.t THEN 0 ELSE lu END AS lu, CASE WHEN lu > 0 AND lu <= i.t THEN lu ELSE va END AS va FROM r JOIN i ON i.rec_id = r.rec_id AND i.rn = r.rn + 1))),
+e AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY rec_id ORDER BY rn DESC) = 1), c AS (SELECT max(t) AS now FROM o),
+n AS (SELECT rec_id, known, acked, dead, attempts, CASE WHEN lu > 0 AND lu <= now THEN 0 ELSE lu END AS lu, CASE WHEN lu > 0 AND lu <= now THEN lu ELSE va END AS va, now FROM e, c),
+s AS (SELECT *, CASE WHEN NOT known THEN 'unknown' WHEN dead THEN 'dead' WHEN acked THEN 'acked' WHEN lu > now THEN 'leased' WHEN va <= now THEN 'visible' ELSE 'delayed' END AS status FROM n)"""
 
 
 def _log(spark, d, events=None):
     kind = F.col("event_type")
-    op = F.when(kind == "signup", "put").when(kind == "view", "lease").when(kind == "purchase", "ack").when(kind == "error", "nack").otherwise("extend")
+    op = F.when(kind == "signup", "put").when(kind == "view", "lease").when(kind == "error", "nack").when(kind == "click", "extend").otherwise(F.when(F.col("event_id") % 16 == 0, "ack").otherwise("lease"))
     rows = _events(spark, d) if events is None else events
-    return rows.select(F.floor(F.col("event_id") / 3).alias("rec_id"), F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").cast("double").alias("ts"), op.alias("op"), F.lit(30.0).alias("arg"))
+    return rows.select(F.col("user_id").alias("rec_id"), F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").cast("double").alias("ts"), op.alias("op"), F.lit(LEASE).alias("arg"))
 
 
-def _records(spark, d):
-    return queue.summary(_log(spark, d))
+def _states(spark, d):
+    log = _log(spark, d)
+    return queue.fold(log, log.agg(F.max("ts")).first()[0] or 0.0, max_attempts=ATTEMPTS)
+
+
+@query(f"WITH RECURSIVE {FOLD} SELECT rec_id, status, attempts, lu AS lease_until, va AS visible_at, dead FROM s")
+def queue_fold(spark, d):
+    return _states(spark, d)
 
 
-@query(f"WITH {RECORDS} SELECT rec_id, attempts FROM s WHERE NOT acked AND NOT leased AND attempts < 3")
+@query(f"WITH RECURSIVE {FOLD} SELECT rec_id, attempts FROM s WHERE status = 'visible' AND attempts < {ATTEMPTS}")
 def queue_visible(spark, d):
-    return queue.visible(_records(spark, d), 3).select("rec_id", "attempts")
+    return queue.visible(_states(spark, d), ATTEMPTS).select("rec_id", "attempts")
 
 
-@query(f"WITH {RECORDS} SELECT rec_id FROM s WHERE NOT acked AND NOT leased ORDER BY rec_id LIMIT 20")
+@query(f"WITH RECURSIVE {FOLD} SELECT rec_id FROM s WHERE status = 'visible' ORDER BY rec_id LIMIT 20")
 def queue_lease_fifo(spark, d):
-    return queue.lease(_records(spark, d), 20).select("rec_id")
+    return queue.lease(_states(spark, d), 20).select("rec_id")
 
 
-@query(f"WITH {RECORDS} SELECT count(*) FILTER (NOT acked AND NOT leased) AS visible, count(*) FILTER (leased) AS leased, count(*) FILTER (acked) AS acked, count(*) AS total FROM s")
+@query(f"WITH RECURSIVE {FOLD} SELECT count(*) FILTER (status = 'visible') AS visible, count(*) FILTER (status = 'leased') AS leased, count(*) FILTER (status = 'acked') AS acked, count(*) FILTER (status = 'dead') AS dead, count(*) FILTER (known) AS total FROM s")
 def queue_stats(spark, d):
-    return queue.stats(_records(spark, d))
+    return queue.stats(_states(spark, d))
 
 
-@query(f"WITH {RECORDS} SELECT coalesce(min(rec_id // 16) FILTER (NOT acked), max(rec_id // 16)) AS head_segment FROM s")
+@query(f"WITH RECURSIVE {FOLD} SELECT coalesce(min(rec_id // 16) FILTER (NOT acked), max(rec_id // 16)) AS head_segment FROM s")
 def queue_head(spark, d):
-    return queue.head_segment(_records(spark, d), 16)
+    return queue.head_segment(_states(spark, d), 16)
 
 
 @query(f"WITH {LOG} SELECT rec_id, seq, row_number() OVER (PARTITION BY rec_id ORDER BY t, seq)::INTEGER AS attempt FROM o WHERE op = 'lease'")
@@ -556,9 +642,9 @@ def unacked_anti_join(spark, d):
     return log.select("rec_id").distinct().join(log.where("op = 'ack'"), "rec_id", "left_anti")
 
 
-@query(f"WITH {RECORDS} SELECT count(*) FILTER (NOT acked) = 0 AND count(*) FILTER (leased) = 0 AS drained FROM s")
+@query(f"WITH RECURSIVE {FOLD} SELECT count(*) FILTER (known) = count(*) FILTER (acked) AS drained FROM s")
 def is_drained(spark, d):
-    return queue.drained(_records(spark, d))
+    return queue.drained(_states(spark, d))
 
 
 @query(f"WITH {LOG}, a AS (SELECT DISTINCT rec_id FROM o WHERE op = 'ack') SELECT rec_id // 32 AS segment, bit_or(1::BIGINT << (rec_id % 32)::INTEGER) AS bits, count(*) AS acked FROM a GROUP BY 1")
@@ -566,30 +652,21 @@ def ack_bitmap(spark, d):
     return queue.ack_bitmap(_log(spark, d).where("op = 'ack'"))
 
 
-@query(f"WITH {RECORDS}, f AS (SELECT rec_id FROM s WHERE NOT acked AND NOT leased ORDER BY rec_id LIMIT 20) SELECT (rec_id % 4)::INTEGER AS queue, count(*) AS n, string_agg(rec_id::VARCHAR, ';' ORDER BY rec_id) AS rec_ids FROM f GROUP BY 1")
+@query(f"WITH RECURSIVE {FOLD}, f AS (SELECT rec_id FROM s WHERE status = 'visible' ORDER BY rec_id LIMIT 20) SELECT (rec_id % 4)::INTEGER AS queue, count(*) AS n, string_agg(rec_id::VARCHAR, ';' ORDER BY rec_id) AS rec_ids FROM f GROUP BY 1")
 def group_by_queue(spark, d):
-    return queue.by_queue(queue.lease(_records(spark, d), 20), F.pmod("rec_id", F.lit(4)).cast("int"))
+    return queue.by_queue(queue.lease(_states(spark, d), 20), F.pmod("rec_id", F.lit(4)).cast("int"))
 
 
-NOW = 1.8e9
-
-
-@query()
-def queue_fold(spark, d):
-    return queue.fold(_log(spark, d), NOW, max_attempts=3)
-
-
-@query()
+@query(f"""WITH RECURSIVE {FOLD} SELECT rec_id, CASE WHEN NOT known THEN 'unknown' WHEN dead THEN 'dead' WHEN acked THEN 'acked' WHEN lu > t THEN 'leased' WHEN va <= t THEN 'visible' ELSE 'delayed' END AS status, attempts, lu AS lease_until, va AS visible_at, dead FROM e""")
 def queue_fold_stream(spark, d):
-    events = stateful.parquet_stream(spark, f"{d}/events.parquet", ["event_id", "event_type", "ts"])
-    return _drained(spark, stateful.queue_states(_log(spark, d, events), max_attempts=3), "queue", "update")
+    events = stateful.parquet_stream(spark, f"{d}/events.parquet", ["event_id", "user_id", "event_type", "ts"])
+    return _drained(spark, stateful.queue_states(_log(spark, d, events), max_attempts=ATTEMPTS), "update")
 
 
-def _drained(spark, stream, name, mode):
+def _drained(spark, stream, mode):
     import uuid
 
-    tag = uuid.uuid4().hex
-    return stateful.drain(stream, f"sigloom_{name}_{tag}", mode, f"{shared_dir(spark)}/sigloom/stream-{tag}")
+    return stateful.drain(stream, mode, f"{shared_dir(spark)}/sigloom/stream-{uuid.uuid4().hex}")
 
 
 # ---- extras, common on such tables but not of the surveyed inventory ----

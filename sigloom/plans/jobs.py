@@ -21,7 +21,6 @@ class Parameters:
     pairs: int = 20_000
     bins: int = 64
     angle_bins: int = 36
-    items_per_task: int = 128
     seed: int = 0
 
 
@@ -29,27 +28,30 @@ def descriptors(points: DataFrame, faces: DataFrame, edges: DataFrame, parameter
     """A row per part with all four descriptors, their hash and an error text.
 
     ``points`` (part, idx, x, y, z), ``faces`` (part, surface_type), ``edges``
-    (part, edge, seq, nx, ny, nz). Parts of fewer than four points have has_points 0
-    and no descriptors. Large clouds are sampled by a hash of part and idx.
+    (part, edge, seq, nx, ny, nz and, where orientation is known, reversed); an edge's key may be any value or struct. Parts of
+    fewer than four points have has_points 0, no descriptors and an error that says so. Large clouds are sampled by a hash of part and idx.
     """
     p = parameters
-    some = order.sample_k(points, ["part"], F.struct(F.xxhash64("part", "idx", F.lit(p.seed)).alias("h"), "idx"), p.sample_points)
+    some = order.sample_k(points, ["part"], F.struct(packing.hashed(F.lit(p.seed), F.col("part"), F.col("idx")).alias("h"), "idx"), p.sample_points)
     from pyspark.sql import Window
 
     some = some.withColumn("idx", F.row_number().over(Window.partitionBy("part").orderBy("idx")) - 1)  # sample_points rows at most
-    base = geometry.signature_rows(some).select("part_id", "has_points", F.array("r1", "r2").alias("bbox_ratio"), "error")
+    base = geometry.signature_rows(some).select("part_id", "has_points", F.array("r1", "r2").alias("bbox_ratio"), F.when(F.col("has_points") == 1, "").otherwise("too_few_points").alias("error"))
     text = lambda df: df.withColumn("part", F.col("part").cast("string"))
-    d2 = geometry.dense(geometry.distance_histogram(text(some), F.pmod(F.xxhash64("idx", F.lit(p.seed)), F.col("n"))), "part", p.bins)
+    d2 = geometry.dense(geometry.drawn_histogram(text(some), "part", p.pairs, p.bins, p.seed), "part", p.bins)
     surf = geometry.surface_histogram(text(faces)).select("part", F.array(*geometry.SURFACE_TYPES).alias("surf"))
-    pairs = geometry.edge_pairs(text(edges), ["part", "edge"], ["seq"], ["nx", "ny", "nz"])
-    dih = geometry.dense(geometry.dihedral_histogram(pairs, bins=p.angle_bins), "part", p.angle_bins)
+    flip = "reversed" in edges.columns
+    pairs = geometry.edge_pairs(text(edges), ["part", "edge"], ["seq"], ["nx", "ny", "nz", *(["reversed"] if flip else [])])
+    dih = geometry.dense(geometry.dihedral_histogram(pairs, bins=p.angle_bins, flipped="reversed" if flip else None), "part", p.angle_bins)
     out = base.withColumnRenamed("part_id", "part")
     for df, name, size in ((d2, "d2_hist", p.bins), (surf, "surf_hist", 6), (dih, "dih_hist", p.angle_bins)):
         column = [c for c in df.columns if c != "part"][0]
         out = out.join(df.withColumnRenamed(column, name), "part", "left").withColumn(name, F.when(F.col("has_points") == 1, F.coalesce(name, F.array_repeat(F.lit(0.0), size))))
     out = out.withColumn("bbox_ratio", F.when(F.col("has_points") == 1, F.col("bbox_ratio")))
-    rounded = F.transform(F.concat("d2_hist", "bbox_ratio", "surf_hist", "dih_hist"), lambda v: F.bround(v, 3).cast("decimal(10,3)").cast("string"))
-    return out.withColumn("geom_hash", F.coalesce(F.sha2(F.array_join(rounded, ","), 256), F.lit(""))).withColumnRenamed("part", "part_id")
+    # thousandths, rounded half to even
+    rounded = F.transform(F.concat("d2_hist", "bbox_ratio", "surf_hist", "dih_hist"), lambda v: F.rint(v * 1000).cast("long").cast("string"))
+    out = out.withColumn("values", F.coalesce(F.array_join(rounded, ","), F.lit("")))
+    return out.withColumn("geom_hash", F.when(F.col("values") != "", F.sha2("values", 256)).otherwise("")).withColumnRenamed("part", "part_id")
 
 
 def run(rows: DataFrame, path: str, before: Callable[[], None] | None = None, after: Callable[[dict], None] | None = None) -> dict:

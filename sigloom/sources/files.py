@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import re
 from collections.abc import Sequence
 
 import pandas as pd
@@ -117,6 +119,32 @@ def grep(rows: DataFrame, needle: str, text: str = "text", ignore_case: bool = F
     return rows.where(column.contains(needle))
 
 
+def parsed(rows: DataFrame, text: str, schema: str, required: str) -> DataFrame:
+    """``rows`` with task, the struct that ``text`` holds as JSON, and poison: whether it holds none, or one without ``required``.
+
+    Poisoned rows are kept and told apart, so that nothing is lost in silence.
+    """
+    out = rows.withColumn("task", F.from_json(text, schema))
+    return out.withColumn("poison", F.col("task").isNull() | F.col(f"task.{required}").isNull())
+
+
+def targets(rows: DataFrame, rel: str, folders: Sequence[str], folder_suffixes: Sequence[str], globs: Sequence[str], skip: Sequence[str]) -> DataFrame:
+    """target and is_dir: the topmost folders named in ``folders`` or by suffix, and files elsewhere whose name fits a glob.
+
+    Nothing in a folder of ``skip`` counts, and nothing below a folder that is a target itself.
+    """
+    parts = S.directories(F.col(rel))
+    ends = [lambda d, s=s: d.endswith(s) for s in folder_suffixes]
+    chosen = lambda d: functools.reduce(lambda a, f: a | f(d), ends, d.isin(*folders or [""]))
+    first = lambda test: F.array_position(F.transform(parts, test), F.lit(True))
+    hit, out = first(chosen), first(lambda d: d.isin(*skip or [""]))
+    pattern = "|".join(re.escape(g).replace(r"\*", ".*").replace(r"\?", ".") for g in globs)
+    alive = (out == 0) | ((hit > 0) & (hit < out))
+    folder = F.array_join(F.slice(parts, 1, hit.cast("int")), "/")
+    target = F.when(hit > 0, folder).when(S.file_name(F.col(rel)).rlike(f"^({pattern})$"), F.col(rel))
+    return rows.where(alive).select(target.alias("target"), (hit > 0).alias("is_dir")).where("target is not null").distinct()
+
+
 def count_by_suffix(rows: DataFrame, name: str, suffixes: Sequence[str], ignore_case: bool = True) -> DataFrame:
     """Rows by the longest suffix that fits, and TOTAL; suffixes without rows do not appear."""
     column = F.lower(F.col(name)) if ignore_case else F.col(name)

@@ -5,13 +5,19 @@ from __future__ import annotations
 import dataclasses
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sigloom.operators.logs import Burst
 from sigloom.operators.queue import Record
 
+#: Files in a micro-batch at most; a key's rows of one micro-batch are put in order in memory.
+FILES = 64
+#: Rows that a key gives at once.
+CHUNK = 10_000
 _RECORD = "acked boolean, known boolean, dead boolean, attempts int, lease_until double, visible_at double"
 
 
@@ -26,8 +32,9 @@ def queue_states(log: DataFrame, max_attempts: int = 0, retry_delay: float = 0.0
     def step(key, batches: Iterator[pd.DataFrame], state):
         record = Record(*state.get) if state.exists else Record()
         now = 0.0
-        rows = pd.concat(list(batches)).sort_values(["ts", "seq"])
-        for ts, op, arg in zip(rows["ts"], rows["op"], rows["arg"].fillna(0.0), strict=True):
+        # a key's operations of one micro-batch, which FILES bounds, as bare numbers
+        rows = sorted(row for b in batches for row in zip(b["ts"], b["seq"], b["op"], b["arg"].fillna(0.0), strict=True))
+        for ts, _, op, arg in rows:
             record.apply(op, ts, arg, max_attempts, retry_delay)
             now = max(now, ts)
         state.update(dataclasses.astuple(record))
@@ -42,25 +49,38 @@ def burst_limited(events: DataFrame, key: str, ts: str, id_: str, burst: int, in
 
     def step(key_, batches: Iterator[pd.DataFrame], state):
         window = Burst(burst, interval, state.get[0] if state.exists else ())
-        rows = pd.concat(list(batches)).sort_values(["_ts", "_id"])
-        admitted = [window.admit(t) for t in rows["_ts"]]
+        rows = np.concatenate([b[["_ts", "_id"]].to_records(index=False) for b in batches])
+        rows.sort(order=["_ts", "_id"])
+        admitted = [window.admit(t) for t in rows["_ts"].tolist()]
         state.update((list(window.admitted),))
-        yield pd.DataFrame({"key": key_[0], "id": rows["_id"], "admitted": admitted})
+        for i in range(0, len(rows), CHUNK):
+            yield pd.DataFrame({"key": key_[0], "id": rows["_id"][i : i + CHUNK], "admitted": admitted[i : i + CHUNK]})
 
     rows = events.select(F.col(key).alias("_key"), F.col(ts).cast("timestamp").cast("double").alias("_ts"), F.col(id_).cast("long").alias("_id"))
     out = rows.groupBy("_key").applyInPandasWithState(step, "key string, id long, admitted boolean", "admitted array<double>", "append", "NoTimeout")
     return out.toDF(key, id_, "admitted")
 
 
-def drain(stream: DataFrame, name: str, mode: str, checkpoint: str) -> DataFrame:
-    """Run a stream over what there is now and give its rows from the memory sink: for small results and tests."""
-    query = stream.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return stream.sparkSession.table(name)
+def drain(stream: DataFrame, mode: str, folder: str) -> DataFrame:
+    """Run a stream over what there is now into Parquet under ``folder`` and read that.
+
+    A micro-batch that is done again after a failure overwrites its own part, so every row comes once. The driver
+    holds no rows; the checkpoint lies in the same folder, so a restart goes on where the stream stopped.
+    """
+
+    def put(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{folder}/rows/batch={batch}")
+
+    stream.writeStream.outputMode(mode).foreachBatch(put).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    spark = stream.sparkSession
+    try:
+        return spark.read.schema(stream.schema).parquet(f"{folder}/rows").select(*stream.columns)
+    except AnalysisException:  # no micro-batch had anything
+        return spark.createDataFrame([], stream.schema)
 
 
 def parquet_stream(spark, path: str, columns: Sequence[str]) -> DataFrame:
     """A Parquet file or folder as a stream, its schema as stored."""
     schema = spark.read.parquet(path).schema
     folder, _, name = path.rpartition("/")
-    return spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", False).parquet(f"{folder}/{name}*").select(*columns)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", False).parquet(f"{folder}/{name}*").select(*columns)

@@ -33,7 +33,19 @@ def test_descriptors_do_not_change_under_shift_and_scale(spark):
 
 def test_few_points_give_no_descriptors(spark):
     rows = geometry.signature_rows(cube(spark).where("idx < 3")).collect()
-    assert [(r["has_points"], r["r1"], r["geom_hash"], r["error"]) for r in rows] == [(0, None, "", "")]
+    assert [(r["has_points"], r["r1"], r["r2"]) for r in rows] == [(0, None, None)]
+    assert geometry.drawn_histogram(cube(spark).where("idx < 3"), pairs=50).count() == 0
+
+
+def test_drawn_pairs_are_counted(spark):
+    rows = geometry.drawn_histogram(cube(spark), pairs=500, seed=3).collect()
+    corner = [(i & 1, i >> 1 & 1, i >> 2) for i in range(8)]
+    want = {}
+    for k in range(500):
+        a, b = corner[(k * 7919 + 3) % 8], corner[(k * 104729 + k // 8 + 13) % 8]
+        v = math.dist(a, b) / math.sqrt(3) / math.sqrt(3)
+        want[min(63, int(v * 64))] = want.get(min(63, int(v * 64)), 0) + 1
+    assert {r["bin"]: r["cnt"] for r in rows} == want
 
 
 def test_surfaces_and_dihedral_angles(spark):
@@ -43,6 +55,8 @@ def test_surfaces_and_dihedral_angles(spark):
     edges = spark.createDataFrame([("c", "e1", 0, 0.0, 0.0, 1.0), ("c", "e1", 1, 1.0, 0.0, 0.0), ("c", "e1", 2, 0.0, 0.0, 1.0), ("c", "e2", 0, 0.0, 1.0, 0.0)], "part string, edge string, seq int, nx double, ny double, nz double")
     pairs = geometry.edge_pairs(edges, ["part", "edge"], ["seq"], ["nx", "ny", "nz"])
     assert [(r["bin"] in (17, 18), r["cnt"]) for r in geometry.dihedral_histogram(pairs).collect()] == [(True, 1)]
+    turned = spark.createDataFrame([("c", 0.0, 0.0, 1.0, False, 0.0, 0.1, 1.0, True)], "part string, nx_a double, ny_a double, nz_a double, r_a boolean, nx_b double, ny_b double, nz_b double, r_b boolean")
+    assert [geometry.dihedral_histogram(turned, flipped=f).first()["bin"] for f in (None, "r")] == [1, 34]
 
 
 def test_fingerprints_ignore_order_but_not_multiplicity(spark):
@@ -96,11 +110,59 @@ def test_queue_scenarios(spark):
 
 
 def test_queue_sampling_fills_from_drawn_queues(spark):
-    records = lambda ids: spark.createDataFrame([(i, False, False, 0) for i in ids], "rec_id long, acked boolean, leased boolean, attempts int")
+    records = lambda ids: spark.createDataFrame([(i, "visible", 0) for i in ids], "rec_id long, status string, attempts int")
     got = queue.sample_queues([records([1]), records([2])], 2, 2, seed=1).collect()
     assert {r["rec_id"] for r in got} == {1, 2}
 
 
+def test_visibility_follows_the_clock(spark):
+    rows = [(1, 0.0, "put", 0.0), (2, 0.0, "put", 0.0), (3, 0.0, "put", 0.0), (1, 1.0, "lease", 5.0), (2, 1.0, "lease", 5.0), (2, 2.0, "nack", 10.0), (3, 1.0, "lease", 1.0), (3, 1.5, "ack", 0.0), (4, 1.0, "lease", 1.0)]
+    at = lambda now: queue.fold(ops(spark, rows), now)
+    assert [[r["rec_id"] for r in queue.visible(at(t)).orderBy("rec_id").collect()] for t in (3.0, 6.0, 12.0)] == [[], [1], [1, 2]]
+    assert queue.stats(at(3.0)).first().asDict() == {"visible": 0, "leased": 1, "acked": 1, "dead": 0, "total": 3}
+    assert queue.visible(at(12.0), 1).count() == 0 and not queue.drained(at(12.0)).first()["drained"]
+    done = [(1, 0.0, "put", 0.0), (1, 1.0, "lease", 1.0), (1, 1.5, "ack", 0.0)]
+    assert queue.drained(queue.fold(ops(spark, done), 9.0)).first()["drained"]
+
+
+def test_streams_go_on_after_a_restart(spark, tmp_path):
+    """Recovery: what a first run folded is the state from which the next one goes on, leases and attempts included."""
+    source, folder = tmp_path / "in", str(tmp_path / "out")
+    schema = "rec_id long, seq long, ts double, op string, arg double"
+    put = lambda rows: ops(spark, rows).coalesce(1).write.mode("append").parquet(str(source))
+    run = lambda: stateful.drain(stateful.queue_states(spark.readStream.schema(schema).parquet(str(source)), max_attempts=2), "update", folder)
+    put([(1, 0.0, "put", 0.0), (1, 1.0, "lease", 5.0), (2, 0.0, "put", 0.0)])
+    assert {(r["rec_id"], r["status"], r["attempts"]) for r in run().collect()} == {(1, "leased", 1), (2, "visible", 0)}
+    assert run().count() == 2  # nothing new: nothing is done again
+    put([(1, 7.0, "lease", 5.0), (2, 7.0, "ack", 0.0)])
+    assert {(r["rec_id"], r["status"], r["attempts"]) for r in run().collect()} >= {(1, "leased", 2), (2, "acked", 0)}
+    put([(1, 20.0, "lease", 5.0)])
+    assert {(r["rec_id"], r["status"], r["attempts"], r["dead"]) for r in run().collect()} >= {(1, "dead", 2, True)}
+
+
+def test_strategies_by_name_and_shuffles(spark):
+    assert [packing.strategy(n) for n in (" Chunk", "LPT", "stable", "hash", "weighted")] == ["fixed", "weighted", "hash", "hash", "weighted"]
+    with pytest.raises(ValueError, match="no such strategy"):
+        packing.strategy("random")
+    items = spark.createDataFrame([(j, i, 1.0) for j in "ab" for i in range(10)], "job string, i int, weight double")
+    sizes = lambda how: sorted(r["count"] for r in packing.assigned(items, how, "job", ["i"], "weight", 4, 100.0).groupBy("job", "task_idx").count().collect())
+    assert sizes("chunk") == [2, 2, 4, 4, 4, 4] == sizes("greedy") and sum(sizes("mod")) == 20
+    some = packing.assigned(items, "chunk", "job", ["i"], "weight", 5, 100.0)
+    one, again, other = ([(r["job"], r["i"], r["place"]) for r in packing.shuffled(some, ["job", "task_idx"], "i", s).orderBy("job", "i").collect()] for s in (1, 1, 2))
+    assert one == again != other and sorted(p for _, _, p in one) == sorted([0, 1, 2, 3, 4] * 4)
+
+
+def test_records_and_targets(spark):
+    df = spark.createDataFrame([(1, {"msg": "m", "task_id": "t", "a": "b"}), (2, {"stage": "s"})], "i int, f map<string,string>")
+    found = S.record_fields(F.col("f"))
+    assert [(r["msg"], r["extras"]) for r in df.select("i", found["msg"].alias("msg"), found["extras"].alias("extras")).orderBy("i").collect()] == [("m", {"a": "b"}), (None, None)]
+    rows = spark.createDataFrame([(p,) for p in ("a/build/x/y", "a/build/z", ".git/build/x", "a/x.tmp", "a/x.py", "q~", "build", "a/b.egg-info/PKG")], "rel string")
+    got = {(r["target"], r["is_dir"]) for r in files.targets(rows, "rel", ["build"], [".egg-info"], ["*.tmp", "*~"], [".git"]).collect()}
+    assert got == {("a/build", True), ("a/x.tmp", False), ("q~", False), ("a/b.egg-info", True)}
+    texts = spark.createDataFrame([(1, '{"k": 1}'), (2, "{broken"), (3, None), (4, '{"j": 1}')], "i int, t string")
+    assert [r["poison"] for r in files.parsed(texts, "t", "k int", "k").orderBy("i").collect()] == [False, True, True, True]
+
+
 def test_burst_limit_against_brute_force(spark):
     rng = random.Random(5)
     rows = [(i, rng.choice("ab"), float(rng.randint(0, 400))) for i in range(300)]
