@@ -1,8 +1,7 @@
 """Operator 5: text quality by a byte-level convolutional network in numpy.
 
-Each filter spans WIDTH bytes and is a table of what every byte adds at every
-place. Besides the learned filters there is a fixed one for recurrence: of LAGS
-shifts of the text against itself the one that agrees best. A chunk of two halves of HALF
+Each learned filter spans WIDTH bytes and is a table of what every byte adds at every
+place. A chunk of two halves of HALF
 bytes, overlapping the next by one half, keeps each filter's largest response;
 the mean and the largest over all chunks of the whole text go through one hidden
 layer to a single probability.
@@ -18,7 +17,7 @@ from pyspark.sql import functions as F
 from sigloom.llm import words as w
 from sigloom.llm.labelled import learning, thinned
 
-WIDTH, FILTERS, HIDDEN, HALF, LAGS = 5, 12, 16, 128, 40
+WIDTH, FILTERS, HIDDEN, HALF = 5, 16, 16, 128
 #: Steps of fitting at least, however few the texts.
 STEPS = 500
 
@@ -26,35 +25,23 @@ STEPS = 500
 def padded(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The texts' bytes in halves of their own, and the number of each text's.
 
-    WIDTH - 1 zeros stand before a text and LAGS at least after it, so that neither filters nor lags reach another text.
+    WIDTH - 1 zeros stand before a text and after the last one, so that no filter reaches another text.
     """
     n = np.diff(at)
-    halves = np.maximum(1, -(-(n + LAGS + WIDTH - 1) // HALF))
+    halves = -(-(n + WIDTH - 1) // HALF)
     begin = (np.cumsum(halves) - halves) * HALF
-    out = np.zeros(int(halves.sum()) * HALF + LAGS, np.uint8)
+    out = np.zeros(int(halves.sum()) * HALF + WIDTH - 1, np.uint8)
     out[np.arange(len(data)) + np.repeat(begin + WIDTH - 1 - at[:-1], n)] = data
     return out, halves
 
 
-def recurrence(b: np.ndarray) -> np.ndarray:
-    """For each half the largest share of its bytes that equal those some lag before."""
-    n = len(b) - LAGS
-    best = np.zeros(n // HALF, np.int64)
-    for lag in range(1, LAGS):
-        same = np.zeros(n, bool)
-        same[lag:] = (b[lag:n] == b[: n - lag]) & (b[lag:n] != 0)
-        bits = np.bitwise_count(np.packbits(same).view(np.uint64)).astype(np.int64)
-        np.maximum(best, bits.reshape(-1, HALF // 64).sum(axis=1), out=best)
-    return (best / HALF).astype(np.float32)
-
-
 class Network:
     def __init__(self, seed: int = 7):
         rng = np.random.default_rng(seed)
         self.p = {
             "table": rng.normal(0, 0.3, (WIDTH, 256, FILTERS)),
             "bias": np.zeros(FILTERS),
-            "into": rng.normal(0, 0.4, (2 * FILTERS + 2, HIDDEN)),
+            "into": rng.normal(0, 0.4, (2 * FILTERS, HIDDEN)),
             "inner": np.zeros(HIDDEN),
             "out": rng.normal(0, 0.4, HIDDEN),
             "last": np.zeros(1),
@@ -63,7 +50,7 @@ class Network:
 
     def responses(self, b: np.ndarray, places: bool = False, step: int = 256):
         """Every filter's largest response in each half and, with ``places``, where it is."""
-        n = (len(b) - LAGS) // HALF
+        n = len(b) // HALF
         out, where = np.empty((n, FILTERS), np.float32), np.empty((n, FILTERS), np.int64) if places else None
         for i in range(0, n, step):
             j = min(n, i + step)
@@ -90,8 +77,7 @@ class Network:
 
     def pooled(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
         b, halves = padded(data, at)
-        h = np.column_stack([self.responses(b)[0], recurrence(b)])
-        c, _, first = self.chunks(h, halves)
+        c, _, first = self.chunks(self.responses(b)[0], halves)
         count = np.maximum(halves - 1, 1)[:, None]
         return np.column_stack([np.add.reduceat(c, first, axis=0) / count, np.maximum.reduceat(c, first, axis=0)])
 
@@ -109,7 +95,6 @@ class Network:
         at = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
         b, halves = padded(data, at)
         h, where = self.responses(b, places=True)
-        h = np.column_stack([h, recurrence(b)])
         c, half, first = self.chunks(h, halves)
         count = np.maximum(halves - 1, 1)
         mean, top = np.add.reduceat(c, first, axis=0) / count[:, None], np.maximum.reduceat(c, first, axis=0)
@@ -122,11 +107,10 @@ class Network:
         g["into"], g["inner"] = x.T @ da, da.sum(axis=0)
         dx = da @ p["into"].T
         of = np.repeat(np.arange(len(texts)), count)
-        dc = (dx[:, : FILTERS + 1] / count[:, None])[of]
+        dc = (dx[:, :FILTERS] / count[:, None])[of]
         is_top = c == top[of]
         ties = np.add.reduceat(is_top.astype(np.int64), first, axis=0)
-        dc = dc + is_top * (dx[:, FILTERS + 1 :] / np.maximum(ties, 1))[of]
-        dc, half, c = dc[:, :FILTERS], half[:, :FILTERS], c[:, :FILTERS]
+        dc = dc + is_top * (dx[:, FILTERS:] / np.maximum(ties, 1))[of]
         dc = np.where(c > 0, dc, 0)
         place = np.take_along_axis(where, half, axis=0)
         g["bias"] = dc.sum(axis=0)

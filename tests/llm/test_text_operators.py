@@ -168,6 +168,22 @@ def test_packing_of_documents(spark, tokenizer):
     assert packing.pack_documents(docs(spark, texts).limit(0), PATH).count() == 0
 
 
+def test_packing_under_every_capacity(spark):
+    rng = random.Random(12)
+    texts = [" ".join(rng.choice(("alpha", "beta", "gamma")) for _ in range(rng.randint(1, 60))) for _ in range(120)]
+    limits = packing.Limits(tokens=128, documents=3, cost=4000, rule="dot")
+    bound = {"tokens": 0, "documents": 0, "cost": 0}
+    rows = packing.pack_documents(docs(spark, [t for t in texts if len(t.split()) < 40]), PATH, limits).collect()
+    places = {}
+    for r in rows:
+        places.setdefault(r["sequence_id"], []).append(r["length"])
+    for p in places.values():
+        used = {"tokens": sum(p), "documents": len(p), "cost": sum(n * n for n in p)}
+        assert used["tokens"] <= 128 and used["documents"] <= 3 and used["cost"] <= 4000
+        bound = {k: max(bound[k], used[k]) for k in bound}
+    assert bound["documents"] == 3 and bound["cost"] > 3000 and bound["tokens"] > 60
+
+
 def shingles(text, size):
     ws = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m.group().lower(), (text or "").encode()))
     if len(ws) < size:
