@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -25,24 +26,29 @@ def keep_first(rows: DataFrame, content: str, id_: str) -> DataFrame:
 def near_pairs(rows: DataFrame, id_: str, vector: str, near: Sequence[Column], tolerance: float, least: float) -> DataFrame:
     """Pairs of rows whose ``near`` values differ by ``tolerance`` at most and whose vectors have cosine ``least``.
 
-    Rows meet in grid cells of the tolerance's width: one side in its own cell, the
-    other in that and the neighbouring ones, so that no pair meets twice and none is missed.
+    Rows meet in grid cells of the tolerance's width, each cell with itself and with half of its
+    neighbours, so that no pair meets twice and none is missed. Only ids and near values go there;
+    vectors are fetched for the pairs that are left.
     """
+    names = [f"_n{i}" for i in range(len(near))]
+    base = rows.select(F.col(id_).alias("_id"), *(c.cast("double").alias(n) for n, c in zip(names, near)))
+    cells = [F.floor(F.col(n) / tolerance).cast("long") for n in names]
+    left = base.select("*", *(c.alias(f"_c{i}") for i, c in enumerate(cells)))
+    zero = (0,) * len(near)
+    half = [o for o in itertools.product((-1, 0, 1), repeat=len(near)) if o >= zero]
+    shifted = F.array(*(F.struct(*((c + d).alias(f"_c{i}") for i, (c, d) in enumerate(zip(cells, o))), F.lit(o == zero).alias("_own")) for o in half))
+    right = base.select(F.col("_id").alias("_other"), *(F.col(n).alias(f"_b{n}") for n in names), F.explode(shifted).alias("_s"))
+    right = right.select("_other", *(f"_b{n}" for n in names), "_s.*")
+    met = left.join(right, [f"_c{i}" for i in range(len(near))]).where(F.when(F.col("_own"), F.col("_id") < F.col("_other")).otherwise(F.col("_id") != F.col("_other")))
+    for n in names:
+        met = met.where(F.abs(F.col(n) - F.col(f"_b{n}")) <= tolerance)
+    pairs = met.select(F.least("_id", "_other").alias("a"), F.greatest("_id", "_other").alias("b"))
     v = F.col(vector)
     length = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x))
-    base = rows.select(F.col(id_), v.alias("_v"), length.alias("_l"), *(c.cast("double").alias(f"_n{i}") for i, c in enumerate(near)))
-    cells = [F.floor(F.col(f"_n{i}") / tolerance).cast("long") for i in range(len(near))]
-    left = base.select("*", *(c.alias(f"_c{i}") for i, c in enumerate(cells)))
-    right = base
-    for i, c in enumerate(cells):
-        right = right.withColumn(f"_c{i}", F.explode(F.array(c - 1, c, c + 1)))
-    right = right.select(*(F.col(c).alias(c if c.startswith("_c") else f"b{c}") for c in right.columns))
-    out = left.join(right, [f"_c{i}" for i in range(len(near))]).where(F.col(id_) < F.col(f"b{id_}"))
-    for i in range(len(near)):
-        out = out.where(F.abs(F.col(f"_n{i}") - F.col(f"b_n{i}")) <= tolerance)
-    dot = F.aggregate(F.zip_with("_v", "b_v", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda a, x: a + x)
-    out = out.withColumn("similarity", dot / (F.col("_l") * F.col("b_l")))
-    return out.where(F.col("similarity") >= least).select(F.col(id_).alias("a"), F.col(f"b{id_}").alias("b"), "similarity")
+    known = rows.select(F.col(id_).alias("_id"), v.alias("_v"), length.alias("_l"))
+    out = pairs.join(known.toDF("a", "_va", "_la"), "a").join(known.toDF("b", "_vb", "_lb"), "b")
+    dot = F.aggregate(F.zip_with("_va", "_vb", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda a, x: a + x)
+    return out.withColumn("similarity", dot / (F.col("_la") * F.col("_lb"))).where(F.col("similarity") >= least).select("a", "b", "similarity")
 
 
 def clusters(pairs: DataFrame) -> DataFrame:
