@@ -121,7 +121,7 @@ CROSS JOIN range({bins}) b(bin) LEFT JOIN {table} h ON h.part = o.part AND h.bin
 
 
 #: A supplier's lines are its points, faces and edges; an edge's ends are told apart by their coordinates, not by their order.
-FULL = f"""q AS (SELECT l_suppkey AS part, (l_orderkey * 8 + l_linenumber) * 1048576 + l_partkey AS id, l_quantity AS x, l_extendedprice / 1000 AS y, l_discount * 100 AS z, l_partkey, l_quantity, l_linenumber, l_returnflag, l_tax FROM lineitem),
+FULL = f"""q AS (SELECT l_suppkey AS part, concat_ws('-', l_orderkey, l_linenumber, l_partkey, round(l_extendedprice * 100)::BIGINT) AS id, l_quantity AS x, l_extendedprice / 1000 AS y, l_discount * 100 AS z, l_partkey, l_quantity, l_linenumber, l_returnflag, l_tax FROM lineitem),
 p AS (SELECT * FROM q QUALIFY row_number() OVER (PARTITION BY part ORDER BY ('0x' || substr(md5(concat_ws('|', '0', part::VARCHAR, id::VARCHAR)), 1, 8))::BIGINT, id) <= 4096), {BOXES},
 u AS (SELECT p.part, id, n, (x - mx) / dg AS x, (y - my) / dg AS y, (z - mz) / dg AS z FROM p JOIN (SELECT *, sqrt((hx - lx) * (hx - lx) + (hy - ly) * (hy - ly) + (hz - lz) * (hz - lz)) + 1e-9::DOUBLE AS dg FROM b) b ON p.part = b.part),
 i AS MATERIALIZED (SELECT part, n, x, y, z, row_number() OVER (PARTITION BY part ORDER BY id) - 1 AS idx FROM u WHERE n >= 4), {DRAWN}, gh AS (SELECT part, bin, count(*) AS cnt FROM g GROUP BY ALL), {_dense("d2", "gh", 64)}, {RATIOS},
@@ -137,7 +137,7 @@ CASE WHEN n >= 4 THEN '' ELSE 'too_few_points' END AS error FROM r LEFT JOIN d2
 @query(f"""WITH {FULL} SELECT *, CASE WHEN has_points = 1 THEN sha256("values") ELSE '' END AS geom_hash FROM sg""")
 def signature_rows(spark, d):
     lines = table(spark, d, "lineitem")
-    part, id_ = F.col("l_suppkey").alias("part"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1048576 + F.col("l_partkey")
+    part, id_ = F.col("l_suppkey").alias("part"), F.concat_ws("-", *(F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey")), F.round(F.col("l_extendedprice") * 100).cast("long").cast("string"))
     points = lines.select(part, id_.alias("idx"), F.col("l_quantity").alias("x"), (F.col("l_extendedprice") / 1000).alias("y"), (F.col("l_discount") * 100).alias("z"))
     faces = lines.select(part, F.get(F.array(*map(F.lit, S.SURFACE_TYPES)), F.pmod("l_partkey", F.lit(6)).cast("int")).alias("surface_type"))
     one, two = [F.col("l_linenumber") / 3, F.lit(0.0), F.lit(0.0)], [F.col("l_quantity").cast("long") % 10 / 7, F.lit(1.0), F.lit(0.0)]
