@@ -58,7 +58,9 @@ def drawn_histogram(points: DataFrame, part: str = "part", pairs: int = 20_000,
     ``points`` has idx from 0 and at most a few thousand points of a part, which fit one array; pair k is
     (k * 7919 + seed, k * 104729 + k div n + 13) modulo n. Parts of fewer than four points have none.
     """
-    unit = normalised(points, part).where("n >= 4")
+    # few bytes make much work here, so partitions must not be put together by their size
+    parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    unit = normalised(points, part).where("n >= 4").repartition(parts, part)
     rows = unit.groupBy(part).agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", *AXES))), lambda p: F.struct(*(p[a] for a in AXES))).alias("p"))
     n = F.size("p").cast("long")
 

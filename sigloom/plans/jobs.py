@@ -38,7 +38,7 @@ def descriptors(points: DataFrame, faces: DataFrame, edges: DataFrame, parameter
     some = some.withColumn("idx", F.row_number().over(Window.partitionBy("part").orderBy("idx")) - 1)  # sample_points rows at most
     base = geometry.signature_rows(some).select("part_id", "has_points", F.array("r1", "r2").alias("bbox_ratio"), F.when(F.col("has_points") == 1, "").otherwise("too_few_points").alias("error"))
     text = lambda df: df.withColumn("part", F.col("part").cast("string"))
-    d2 = geometry.dense(geometry.drawn_histogram(text(some), "part", p.pairs, p.bins, p.seed), "part", p.bins)
+    d2 = geometry.dense(text(geometry.drawn_histogram(some, "part", p.pairs, p.bins, p.seed)), "part", p.bins)
     surf = geometry.surface_histogram(text(faces)).select("part", F.array(*geometry.SURFACE_TYPES).alias("surf"))
     flip = "reversed" in edges.columns
     pairs = geometry.edge_pairs(text(edges), ["part", "edge"], ["seq"], ["nx", "ny", "nz", *(["reversed"] if flip else [])])
