@@ -191,7 +191,7 @@ def open_groups(group: DataFrame, num: int, den: int) -> DataFrame:
                 continue
             q, m = queries[:, None], members[None, :]
             fits = (den * np.minimum(d.n[q], d.n[m]) >= num * np.maximum(d.n[q], d.n[m])) & (comp[q] != comp[m])
-            fits &= (early[m] & (d.n[q] <= d.n[m])) | (early[q] & (d.n[q] >= d.n[m]))
+            fits &= (early[q] & (d.n[q] <= d.n[m])) | (early[m] & (d.n[q] >= d.n[m]))
             if i == j:
                 fits &= doc[m] < doc[q]
             if not fits.any():

@@ -229,6 +229,15 @@ def test_jaccard_join_brute_force(spark, monkeypatch, size, num, block):
     assert len(set(root.values())) < len(root) - 50
 
 
+def test_jaccard_join_of_sets_of_different_sizes(spark):
+    texts = {}
+    for i in range(200):  # the smallest member of the group is similar to neither of the other two
+        q = [f"q{i}_{k}" for k in range(7)]
+        texts |= {3 * i: " ".join(q + [f"h{i}_{k}" for k in range(6)]), 3 * i + 1: " ".join(q), 3 * i + 2: " ".join([*q, f"m{i}"])}
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(docs(spark, texts), 4, 80, 100).collect()}
+    assert got == {d: d - (d % 3 == 2) for d in texts}
+
+
 def test_jaccard_join_odd_rows(spark):
     df = spark.createDataFrame([(None, "a b c d e"), (4, "a b c d e"), (2, "a b c d e"), (2, "a b c d e"), (2, "p q r s t"), (9, "p q r s t")], DOCS)
     rows = sorted(((r["doc_id"], r["component_id"]) for r in jaccard.near_duplicates(df).collect()), key=str)
