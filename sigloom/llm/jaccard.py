@@ -13,6 +13,7 @@ before the exact check on whole token sets.
 Equal sets are one class from the start. A first round links each class with its
 groups' smallest members only; classes that these links connect need no further
 comparing, so a group of near copies costs its size and not its square.
+That gives components; :func:`similar_pairs` skips this round and gives every link.
 """
 
 from __future__ import annotations
@@ -290,17 +291,8 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int) -
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """Per row doc_id, n_shingles and component_id, of links with Jaccard similarity num / den or more.
-
-    Words are lower-cased in A-Z only. A text of fewer than ``size`` words counts as one
-    n-gram, an empty or null one as none, linked with nothing. Rows that
-    repeat a doc_id are one document. A null doc_id stays null, with a null
-    component, and links with nothing. An empty table gives an empty one; other
-    columns are ignored.
-    """
-    bounded(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def _matrix(docs: DataFrame, size: int, num: int, den: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Written tables of all documents (doc_id, n, rep), the matrix of shared tokens and class representatives, and what bounds need of each representative."""
     rows = written(leading(docs, size, num, den), "lead")
     sets = rows.where("n > 0 and doc_id is not null")
     classes = written(sets.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep")), "classes")
@@ -321,7 +313,48 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     shared = matrix.groupBy("doc").agg(F.collect_list(F.col("token").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("shared"))
     brief = written(reps.select("doc", "n", F.size("lead").cast("long").alias("many"), marks.alias("marks")).join(shared, "doc"), "brief")
     dropped(reps)
+    return members, matrix, brief
+
 
+def _blocks(active: DataFrame, brief: DataFrame) -> DataFrame:
+    """What :func:`open_groups` takes, of rows (token, doc, early, group, comp): each group in blocks, each pair of them together once."""
+    blocks = F.ceil(F.col("group") / BLOCK).cast("int")
+    active = active.select("token", "doc", "early", "comp", blocks.alias("blocks"), F.pmod(F.xxhash64("doc"), blocks).cast("int").alias("block"))
+    active = active.join(brief, "doc").select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    return active.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc", "early", "comp", "n", "many", "shared", "marks")
+
+
+def similar_pairs(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> tuple[DataFrame, DataFrame]:
+    """Every link between different sets: (members, links).
+
+    members has doc_id, n_shingles and representative, the smallest doc_id with an equal set (null
+    for a null doc_id); links has the pairs (a, b), a < b, of representatives whose sets have similarity
+    num / den or more. Documents of one representative link with each other and with all that it links with,
+    but for those without words, which link with nothing. No group is settled beforehand
+    here, so the work grows with the links there are. Rows, null and empty texts, repeats, empty tables
+    and other columns are taken as :func:`near_duplicates` takes them.
+    """
+    bounded(docs.sparkSession)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    members, matrix, brief = _matrix(docs, size, num, den)
+    found = written(open_groups(_blocks(matrix.where("any").withColumn("comp", F.col("doc")), brief), num, den), "pairs")
+    dropped(matrix, brief)
+    links = written(verified(found, docs, size, num, den).distinct(), "links")
+    return members.select("doc_id", F.col("n").alias("n_shingles"), F.col("rep").alias("representative")), links
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """Per row doc_id, n_shingles and component_id, of links with Jaccard similarity num / den or more.
+
+    Words are lower-cased in A-Z only. A text of fewer than ``size`` words counts as one
+    n-gram, an empty or null one as none, linked with nothing. Rows that
+    repeat a doc_id are one document. A null doc_id stays null, with a null
+    component, and links with nothing. An empty table gives an empty one; other
+    columns are ignored.
+    """
+    bounded(docs.sparkSession)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    members, matrix, brief = _matrix(docs, size, num, den)
     near = F.lit(den) * F.least("n", "hub.n") >= F.lit(num) * F.greatest("n", "hub.n")
     shown = F.when(F.col("n") < F.col("hub.n"), F.col("early")).when(F.col("n") > F.col("hub.n"), F.col("hub.early")).otherwise(F.col("early") | F.col("hub.early"))
     hubs = matrix.where(near & shown & (F.col("doc") != F.col("hub.doc"))).select(F.col("hub.doc").alias("a"), F.col("doc").alias("b")).distinct()
@@ -334,11 +367,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     known = written(known, "known")
     dropped(matrix)
     open_ = known.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("token")
-    blocks = F.ceil(F.col("group") / BLOCK).cast("int")
-    active = known.join(open_, "token").select("token", "doc", "early", "comp", blocks.alias("blocks"), F.pmod(F.xxhash64("doc"), blocks).cast("int").alias("block"))
-    active = active.join(brief, "doc").select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    grid = active.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc", "early", "comp", "n", "many", "shared", "marks")
-    found = written(open_groups(grid, num, den), "pairs")
+    active = known.join(open_, "token").select("token", "doc", "early", "group", "comp")
+    found = written(open_groups(_blocks(active, brief), num, den), "pairs")
     dropped(brief, known)
     more = written(verified(found, docs, size, num, den), "links")
 

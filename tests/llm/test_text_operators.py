@@ -227,6 +227,13 @@ def test_jaccard_join_brute_force(spark, monkeypatch, size, num, block):
     rows = jaccard.near_duplicates(docs(spark, texts, clash=True).repartition(4), size, num, 100).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == {i: (len(sets[i]), root[i]) for i in sets}
     assert len(set(root.values())) < len(root) - 50
+    members, pairs = jaccard.similar_pairs(docs(spark, texts, clash=True).repartition(4), size, num, 100)
+    rep = {r["doc_id"]: r["representative"] for r in members.collect()}
+    firsts = {t: min(i for i in sets if sets[i] == t) for t in set(sets.values())}
+    assert rep == {i: firsts[t] if t else i for i, t in sets.items()}
+    got = sorted((r["a"], r["b"]) for r in pairs.collect())
+    assert got == sorted((a, b) for a, b in links if rep[a] == a and rep[b] == b)
+    assert len(got) > 20
 
 
 def test_jaccard_join_of_sets_of_different_sizes(spark):
@@ -243,6 +250,8 @@ def test_jaccard_join_odd_rows(spark):
     rows = sorted(((r["doc_id"], r["component_id"]) for r in jaccard.near_duplicates(df).collect()), key=str)
     assert rows == sorted([(None, None), (4, 2), (2, 2), (2, 2), (2, 2), (9, 2)], key=str)
     assert jaccard.near_duplicates(df.limit(0)).count() == 0
+    members, pairs = jaccard.similar_pairs(df.limit(0))
+    assert members.count() == pairs.count() == 0
 
 
 def test_components_of_chains_and_stars(spark):
