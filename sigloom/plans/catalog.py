@@ -207,19 +207,19 @@ PAIRS = """WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS v, embedding[1]::DOU
 p AS (SELECT x.vec_id AS a, y.vec_id AS b, list_inner_product(x.v, y.v) / (x.l * y.l) AS similarity FROM s x JOIN s y ON x.vec_id < y.vec_id AND abs(x.a - y.a) <= 0.1 AND abs(x.b - y.b) <= 0.1)"""
 
 
-def _near(spark, d):
-    return duplicates.near_pairs(table(spark, d, "embeddings"), "vec_id", "embedding", [F.get("embedding", F.lit(0)), F.get("embedding", F.lit(1))], 0.1, 0.3)
+def _near(spark, d, found):
+    return found(table(spark, d, "embeddings"), "vec_id", "embedding", [F.get("embedding", F.lit(0)), F.get("embedding", F.lit(1))], 0.1, 0.3)
 
 
 @query(PAIRS + " SELECT a, b, round(similarity, 6) AS similarity FROM p WHERE similarity >= 0.3")
 def near_dup_pairs(spark, d):
-    return _near(spark, d).withColumn("similarity", F.round("similarity", 6))
+    return _near(spark, d, duplicates.near_pairs).withColumn("similarity", F.round("similarity", 6))
 
 
 @query(PAIRS.replace("WITH v", "WITH RECURSIVE v") + """, e AS (SELECT a, b FROM p WHERE similarity >= 0.3 UNION SELECT b, a FROM p WHERE similarity >= 0.3), c AS (SELECT a AS id, a AS r FROM e UNION SELECT e.b, c.r FROM c JOIN e ON c.id = e.a)
 SELECT id, min(r) AS cluster FROM c GROUP BY id""")
 def near_dup_clusters(spark, d):
-    return duplicates.clusters(_near(spark, d))
+    return _near(spark, d, duplicates.near_clusters)
 
 
 # ---- files: pages' addresses and documents as paths ----

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sigloom.functions import scalars as S
-from sigloom.operators import fingerprints, geometry, joins, logs, order, packing, queue
+from sigloom.operators import duplicates, fingerprints, geometry, joins, logs, order, packing, queue
 from sigloom.sources import files, sinks
 from sigloom.streaming import stateful
 
@@ -278,3 +278,43 @@ def test_burst_state_is_bounded():
     b = logs.Burst(2, 10.0)
     assert [b.admit(t) for t in (0.0, 1.0, 2.0, 10.0, 10.5, 11.0)] == [True, True, False, True, False, True]
     assert len(b.admitted) == 2 and stateful.Record is queue.Record
+
+
+def near_rows(spark):
+    """Vectors in two dimensions of ``near`` and groups of near copies; some repeat an id, are zero, shorter, not finite or lack something."""
+    draw = random.Random(5)
+    rows = [(i, [draw.gauss(0, 0.12) for _ in range(8)]) for i in range(150)]
+    rows += [(200 + i, [0.3, 0.3, *(draw.gauss(0, 1e-3) for _ in range(5)), 0.5]) for i in range(60)]
+    rows += [(7, [0.01, 0.02, 0.5]), (8, [0.02, 0.01, 0.5]), (3, rows[4][1]), (3, rows[4][1]), (300, [0.0] * 8), (301, [0.1, 0.0, math.nan, *[0.1] * 5]), (302, [math.nan, *[0.1] * 7]), (303, [0.1, None, *[0.1] * 6]), (304, None), (None, [0.1] * 8)]
+    return rows, spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+
+
+def near_values():
+    return [F.get("embedding", F.lit(0)), F.get("embedding", F.lit(1))]
+
+
+def near_by_force(rows):
+    good = [(i, v) for i, v in rows if i is not None and v is not None and None not in v]
+    out = []
+    for i, v in good:
+        for j, w in good:
+            if i < j and len(v) == len(w) and abs(v[0] - w[0]) <= 0.1 and abs(v[1] - w[1]) <= 0.1:
+                lengths = math.sqrt(sum(x * x for x in v)) * math.sqrt(sum(x * x for x in w))
+                cosine = sum(x * y for x, y in zip(v, w)) / lengths if lengths else math.nan
+                if not cosine < 0.3:
+                    out.append((i, j, "nan" if cosine != cosine else round(cosine, 9)))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("block", [16, 8192])
+def test_near_clusters_are_the_components_of_all_near_pairs_and_need_a_forest_only(spark, monkeypatch, block):
+    rows, df = near_rows(spark)
+    pairs, seen = near_by_force(rows), []
+    monkeypatch.setattr(duplicates, "clusters", lambda links, f=duplicates.clusters: seen.append(links.count()) or f(links))
+    got = {r["id"]: r["cluster"] for r in duplicates.near_clusters(df, "vec_id", "embedding", near_values(), 0.1, 0.3, block=block).collect()}
+    want = {i: i for a, b, _ in pairs for i in (a, b)}
+    for _ in want:
+        for a, b, _ in pairs:
+            want[a] = want[b] = min(want[a], want[b])
+    assert got == want
+    assert seen[0] < len(rows) if block > len(rows) else seen[0] < len(pairs)
