@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import functools
-import itertools
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -131,32 +130,26 @@ def _reaches(similarity: np.ndarray, least: float) -> np.ndarray:
     return (similarity >= least) | np.isnan(similarity)
 
 
-def near_pairs(rows: DataFrame, id_: str, vector: str, near: Sequence[Column], tolerance: float, least: float) -> DataFrame:
+def near_pairs(rows: DataFrame, id_: str, vector: str, near: Sequence[Column], tolerance: float, least: float, block: int = BLOCK) -> DataFrame:
     """Pairs of rows whose ``near`` values differ by ``tolerance`` at most and whose vectors have cosine ``least``.
 
-    Rows meet in grid cells of the tolerance's width, each cell with itself and with half of its
-    neighbours, so that no pair meets twice and none is missed. Only ids and near values go there;
-    vectors are fetched for the pairs that are left.
+    Blocks of rows in grid order meet where their boxes come within the tolerance, and are multiplied out there:
+    only rows are dealt, a row once for each block near it, and pairs are made where they are decided.
     """
-    names = [f"_n{i}" for i in range(len(near))]
-    base = rows.select(F.col(id_).alias("_id"), *(c.cast("double").alias(n) for n, c in zip(names, near)))
-    cells = [F.floor(F.col(n) / tolerance).cast("long") for n in names]
-    left = base.select("*", *(c.alias(f"_c{i}") for i, c in enumerate(cells)))
-    zero = (0,) * len(near)
-    half = [o for o in itertools.product((-1, 0, 1), repeat=len(near)) if o >= zero]
-    shifted = F.array(*(F.struct(*((c + d).alias(f"_c{i}") for i, (c, d) in enumerate(zip(cells, o))), F.lit(o == zero).alias("_own")) for o in half))
-    right = base.select(F.col("_id").alias("_other"), *(F.col(n).alias(f"_b{n}") for n in names), F.explode(shifted).alias("_s"))
-    right = right.select("_other", *(f"_b{n}" for n in names), "_s.*")
-    met = left.join(right, [f"_c{i}" for i in range(len(near))]).where(F.when(F.col("_own"), F.col("_id") < F.col("_other")).otherwise(F.col("_id") != F.col("_other")))
-    for n in names:
-        met = met.where(F.abs(F.col(n) - F.col(f"_b{n}")) <= tolerance)
-    pairs = met.select(F.least("_id", "_other").alias("a"), F.greatest("_id", "_other").alias("b"))
-    v = F.col(vector)
-    length = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x))
-    known = rows.select(F.col(id_).alias("_id"), v.alias("_v"), length.alias("_l"))
-    out = pairs.join(known.toDF("a", "_va", "_la"), "a").join(known.toDF("b", "_vb", "_lb"), "b")
-    dot = F.aggregate(F.zip_with("_va", "_vb", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda a, x: a + x)
-    return out.withColumn("similarity", dot / (F.col("_la") * F.col("_lb"))).where(F.col("similarity") >= least).select("a", "b", "similarity")
+    kind = rows.schema[id_].dataType
+
+    def met(batches):
+        for blocks in _blocks(batches, block):
+            for p, q in blocks.candidates(tolerance, least):
+                similarity = blocks.cosines(p, q)
+                good = _reaches(similarity, least)
+                p, q, similarity = p[good], q[good], similarity[good]
+                turned = blocks.rank[p] > blocks.rank[q]
+                a, b = np.where(turned, q, p), np.where(turned, p, q)
+                yield pa.record_batch([blocks.ids.take(pa.array(a)), blocks.ids.take(pa.array(b)), pa.array(similarity)], names=["a", "b", "similarity"])
+
+    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind), T.StructField("similarity", T.DoubleType())])
+    return _meeting(rows, id_, vector, near, tolerance, block).mapInArrow(met, schema)
 
 
 def near_clusters(rows: DataFrame, id_: str, vector: str, near: Sequence[Column], tolerance: float, least: float, block: int = BLOCK) -> DataFrame:

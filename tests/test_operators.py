@@ -318,3 +318,11 @@ def test_near_clusters_are_the_components_of_all_near_pairs_and_need_a_forest_on
             want[a] = want[b] = min(want[a], want[b])
     assert got == want
     assert seen[0] < len(rows) if block > len(rows) else seen[0] < len(pairs)
+
+
+@pytest.mark.parametrize("block", [16, 8192])
+def test_near_pairs_are_all_pairs_found_by_force(spark, block):
+    rows, df = near_rows(spark)
+    found = duplicates.near_pairs(df, "vec_id", "embedding", near_values(), 0.1, 0.3, block=block).collect()
+    assert sorted(((r["a"], r["b"], "nan" if math.isnan(r["similarity"]) else round(r["similarity"], 9)) for r in found), key=str) == near_by_force(rows)
+    assert duplicates.near_pairs(df.limit(0), "vec_id", "embedding", near_values(), 0.1, 0.3).count() == 0
