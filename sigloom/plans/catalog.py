@@ -102,7 +102,8 @@ def edge_face_pairs(spark, d):
 h AS (SELECT part, acos(greatest(-1, least(1, (ax / la) * (bx / lb) + (ay / la) * (by_ / lb) + (az / la) * (bz / lb)))) AS v FROM g)
 SELECT part, least(floor(v / pi() * 36), 35)::INTEGER AS bin, count(*) AS cnt FROM h GROUP BY ALL""")
 def dihedral_hist(spark, d):
-    pairs = geometry.edge_pairs(_edges(spark, d), ["l_partkey"], ["l_orderkey", "l_linenumber"], ["nx", "ny", "nz"])
+    # the SQL leaves open which of several lines of one number comes first; by their normals it is always the same one
+    pairs = geometry.edge_pairs(_edges(spark, d), ["l_partkey"], ["l_orderkey", "l_linenumber", "nx", "ny", "nz"], ["nx", "ny", "nz"])
     return geometry.dihedral_histogram(pairs.withColumn("part", F.pmod("l_partkey", F.lit(10))))
 
 

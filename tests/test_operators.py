@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sigloom.functions import scalars as S
 from sigloom.operators import duplicates, fingerprints, geometry, joins, logs, order, packing, queue
+from sigloom.plans import catalog
 from sigloom.sources import files, sinks
 from sigloom.streaming import stateful
 
@@ -326,3 +327,12 @@ def test_near_pairs_are_all_pairs_found_by_force(spark, block):
     found = duplicates.near_pairs(df, "vec_id", "embedding", near_values(), 0.1, 0.3, block=block).collect()
     assert sorted(((r["a"], r["b"], "nan" if math.isnan(r["similarity"]) else round(r["similarity"], 9)) for r in found), key=str) == near_by_force(rows)
     assert duplicates.near_pairs(df.limit(0), "vec_id", "embedding", near_values(), 0.1, 0.3).count() == 0
+
+
+def test_dihedral_query_takes_the_same_lines_of_one_number_whatever_order_they_come_in(spark, tmp_path):
+    lines = [(1, 1, 1, 10.0, 0.0, 0.0), *((1, 2, 1, *v) for v in ((0.0, 0.1, 0.0), (5.0, 0.05, 0.0), (50.0, 0.0, 0.01)))]
+    found = []
+    for k, some in enumerate((lines, lines[::-1])):
+        spark.createDataFrame(some, "l_partkey long, l_orderkey long, l_linenumber int, l_quantity double, l_discount double, l_tax double").coalesce(1).write.parquet(f"{tmp_path}/{k}/lineitem.parquet")
+        found.append(catalog.QUERIES["dihedral_hist"](spark, f"{tmp_path}/{k}").collect())
+    assert found[0] == found[1] and [(r["part"], r["bin"], r["cnt"]) for r in found[0]] == [(1, 18, 1)]
