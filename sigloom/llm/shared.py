@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import tempfile
 import uuid
 
+import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -53,9 +56,33 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def released(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of plans that nothing refers to any more."""
+    """Let Spark drop the shuffle files of plans that nothing refers to any more, and give what the driver has freed back to the system.
+
+    Compiling plans and collecting rows leave freed blocks in the C library's heaps, the JVM's and Python's, which
+    would count as the driver's memory until the session ends.
+    """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    trimmed(spark)
+
+
+def trimmed(spark: SparkSession) -> None:
+    """Return freed blocks of the driver's native heaps; does nothing where the C library or the JVM has no such call."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+    gateway, jvm = spark.sparkContext._gateway, spark.sparkContext._jvm
+    named = jvm.java.lang.Class.forName
+    try:
+        # by the interface's method: the server's own class is not open to reflection
+        kinds, args = gateway.new_array(jvm.java.lang.Class, 4), gateway.new_array(jvm.java.lang.Object, 4)
+        for i, kind in enumerate(("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;")):
+            kinds[i] = named(kind)
+        args[0], args[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        named("javax.management.MBeanServer").getMethod("invoke", kinds).invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), args)
+    except Py4JError:  # another JVM
+        pass
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from sigloom.llm import words as w
 from sigloom.llm.grouping import lists
 from sigloom.llm.labelled import held_out, learning, thinned
+from sigloom.llm.shared import released
 
 #: Bytes of words: letters of ASCII and all of other scripts; what lies between is no word.
 LETTERS = np.zeros(256, bool)
@@ -73,6 +74,20 @@ def risk(on_unlabelled: np.ndarray, on_positive: np.ndarray, prior: float) -> fl
     return soft(on_unlabelled) - prior * soft(on_positive)
 
 
+#: Texts whose features are looked up at once: few of them are chosen, so that all at once would cost many times what stays.
+TEXTS = 200
+
+
+def counted(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct features of all texts, sorted, and how many texts have each; one copy of all is made, sorted in place."""
+    found = np.concatenate(texts)
+    found.sort()
+    new = np.ones(len(found), bool)
+    new[1:] = found[1:] != found[:-1]
+    at = np.flatnonzero(new)
+    return found[at], np.diff(np.append(at, len(found)))
+
+
 #: Least evidence (count times log of lift) for a feature; chance reaches it about once in a million features.
 EVIDENCE = 15.0
 
@@ -81,8 +96,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     """Minimise the non-negative risk over the ``most`` most telling features; each text is its distinct hashes."""
     if not positive or not unlabelled:
         return Linear(np.zeros(0, np.uint64), np.zeros(0), -4.0)
-    p, p_n = np.unique(np.concatenate(positive), return_counts=True)
-    u, u_n = np.unique(np.concatenate(unlabelled), return_counts=True)
+    (p, p_n), (u, u_n) = counted(positive), counted(unlabelled)
     place = np.minimum(np.searchsorted(u, p), len(u) - 1)
     in_u = np.where(u[place] == p, u_n[place], 0)
     share_p, share_u = p_n / len(positive), (in_u + 1) / (len(unlabelled) + 2)
@@ -93,11 +107,15 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
         return Linear(np.zeros(0, np.uint64), np.zeros(0), -4.0)
 
     def rows(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        of = np.repeat(np.arange(len(texts)), [len(x) for x in texts])
-        found = np.concatenate(texts)
-        place = np.minimum(np.searchsorted(chosen, found), len(chosen) - 1)
-        hit = chosen[place] == found
-        return of[hit], place[hit]
+        of, at = [], []
+        for k in range(0, len(texts), TEXTS):
+            some = texts[k : k + TEXTS]
+            found = np.concatenate(some)
+            place = np.minimum(np.searchsorted(chosen, found), len(chosen) - 1)
+            hit = chosen[place] == found
+            of.append(np.repeat(np.arange(k, k + len(some)), [len(x) for x in some])[hit])
+            at.append(place[hit])
+        return np.concatenate(of), np.concatenate(at)
 
     (p_of, p_at), (u_of, u_at) = rows(positive), rows(unlabelled)
     weight, bias = np.zeros(len(chosen)), -1.0
@@ -150,6 +168,7 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = 2000, unlabelled:
     docs = docs.select("doc_id", "text")
     out = fit(sample(docs.join(F.broadcast(toxic), "doc_id", "left_semi"), positives), sample(thinned(docs.where(~held_out()), unlabelled), unlabelled), prior)
     known.unpersist()
+    released(docs.sparkSession)
     return out
 
 

@@ -1,6 +1,8 @@
 """Searches and joins of vectors against brute force; classifiers by held-out accuracy; the pipeline stage by stage."""
 
+import ctypes
 import re
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -12,7 +14,7 @@ import __spark_entry__
 import corpus_pipeline
 from sigloom.llm import egojoin, quality, topk, toxicity
 from sigloom.llm.labelled import held_out
-from sigloom.llm.shared import table, written
+from sigloom.llm.shared import released, table, written
 from tests.llm.test_text_operators import shingles, union_find
 
 SF = "/root/testdata/sf0.01"
@@ -193,6 +195,52 @@ def test_non_negative_risk_climbs_back(monkeypatch):
     assert risks[-1] > -0.1 and np.isfinite(model.weight).all()
 
 
+def test_toxicity_fit_copies_its_texts_once():
+    rng = np.random.default_rng(8)
+    make = lambda bad: np.unique(np.concatenate([rng.integers(1000, 9000, 2000), np.arange(20) if bad else np.arange(0)])).astype(np.uint64)
+    bad, mixed = [make(True) for _ in range(100)], [make(k % 20 == 0) for k in range(2000)]
+    tracemalloc.start()
+    model = toxicity.fit(bad, mixed, 0.05, steps=5)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model.feature.tolist() == list(range(20)) and most < 1.7 * sum(x.nbytes for x in mixed)
+
+
+@pytest.mark.skipif(not hasattr(ctypes.CDLL(None), "malloc_trim"), reason="another C library")
+def test_released_gives_freed_native_memory_back(spark):
+    gateway, jvm = spark.sparkContext._gateway, spark.sparkContext._jvm
+    resident = lambda pid: int(re.search(r"Rss:\s+(\d+)", open(f"/proc/{pid}/smaps_rollup").read())[1]) / 1024  # noqa: E731, SIM115
+
+    # freed blocks below one that stays are not given back by themselves
+    libc = ctypes.CDLL(None)
+    libc.malloc.restype, libc.free.argtypes = ctypes.c_void_p, [ctypes.c_void_p]
+    released(spark)
+    blocks = [libc.malloc(60_000) for _ in range(2000)]
+    for b in blocks:
+        ctypes.memset(b, 1, 60_000)
+    for b in blocks[:-1]:
+        libc.free(b)
+    before = resident("self")
+    released(spark)
+    assert before - resident("self") > 90, "the driver's Python kept what it had freed"
+    libc.free(blocks[-1])
+
+    pid = jvm.java.lang.ProcessHandle.current().pid()
+    plain, packed = gateway.new_array(jvm.byte, 60_000), gateway.new_array(jvm.byte, 100_000)
+    packers = [jvm.java.util.zip.Deflater() for _ in range(400)]
+    for p in packers:
+        p.setInput(plain)
+        p.finish()
+        p.deflate(packed)
+    for p in packers[:-1]:
+        p.end()
+    jvm.System.gc()
+    before = resident(pid)
+    released(spark)
+    assert before - resident(pid) > 50, "the driver's JVM kept what it had freed"
+    packers[-1].end()
+
+
 def test_pipeline_stage_by_stage(spark):
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert len(names) == 5 and "pipeline" in __spark_entry__.queries()
